@@ -39,7 +39,18 @@ def batch_flows(spark, sf_dir):
     return tables.flows(spark, sf_dir)
 
 
-@register("decode_flows", f"select {FLOW_COLUMNS} from flows")
+# A message has no missing texts, and no exporter texts without an exporter.
+WIRE_COLUMNS = ", ".join(
+    f"case when node_id is not null then {name} end as {name}"
+    if name in ("foreign_source", "foreign_id")
+    else f"coalesce({name}, '') as {name}"
+    if name.endswith("hostname")
+    else name
+    for name in FLOW_SCHEMA.names
+)
+
+
+@register("decode_flows", f"select {WIRE_COLUMNS} from flows")
 def decode_flows(spark, sf_dir):
     messages = protobuf.encode_flows(tables.flows(spark, sf_dir))
     return protobuf.accepted(protobuf.decode_flows(messages))
@@ -278,13 +289,13 @@ def host_in_ranges(spark, sf_dir):
     """, texts as (select s_suppkey as id, s_suppkey % 256 as o, 8 + s_suppkey % 25 as bits
       from supplier)
     , pieces as (
-      select id, 10 * 16777216 + o * 65536 + 5 * 256 + o as low,
-        10 * 16777216 + o * 65536 + 5 * 256 + o as high from texts
-      union all select id, 10 * 16777216 + o, 10 * 16777216 + 16777215 from texts
+      select id, cast(167772160 as bigint) + o * 65536 + 5 * 256 + o as low,
+        cast(167772160 as bigint) + o * 65536 + 5 * 256 + o as high from texts
+      union all select id, cast(167772160 as bigint) + o, cast(167772160 as bigint) + 16777215 from texts
       union all select id,
-        ((172 * 16777216 + o * 65536 + o * 257) // cast(2 ** (32 - bits) as bigint))
+        ((cast(2885681152 as bigint) + o * 65536 + o * 257) // cast(2 ** (32 - bits) as bigint))
           * cast(2 ** (32 - bits) as bigint),
-        ((172 * 16777216 + o * 65536 + o * 257) // cast(2 ** (32 - bits) as bigint))
+        ((cast(2885681152 as bigint) + o * 65536 + o * 257) // cast(2 ** (32 - bits) as bigint))
           * cast(2 ** (32 - bits) as bigint) + cast(2 ** (32 - bits) as bigint) - 1 from texts)
     select id, cast(low as bigint) as low, cast(high as bigint) as high from pieces""",
 )
