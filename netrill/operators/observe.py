@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from netrill.config import FlowOptions
@@ -51,6 +55,17 @@ def sink_counters(batched_samples: DataFrame) -> DataFrame:
     )
 
 
+def with_clock(rows: DataFrame) -> DataFrame:
+    """Add the wall-clock time at which each Arrow batch of rows passed by."""
+
+    def stamp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            now = pa.array([int(time.time() * 1000)] * batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([now], names=["clock_ms"])
+
+    return rows.select("bytes_in", "bytes_out").mapInArrow(stamp, "clock_ms bigint")
+
+
 def throughput(rows: DataFrame, clock_ms: str) -> DataFrame:
     """Rows, first and last processing time, rows per second."""
     span = F.col("last_ms") - F.col("first_ms")

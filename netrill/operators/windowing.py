@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netrill.config import FlowOptions
@@ -80,7 +82,9 @@ def explode_windows(flows: DataFrame, options: FlowOptions) -> DataFrame:
     )
 
 
-def window_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
+def window_rows(
+    flows: DataFrame, options: FlowOptions, keep: Sequence[str] = ()
+) -> DataFrame:
     """Keyed rows: full key, window, bytes by direction, names and flags."""
     located = flows.filter(F.col("node_id").isNotNull())
     exploded = explode_windows(normalize.canonical(prepared(located, options)), options)
@@ -101,6 +105,7 @@ def window_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
             F.when(F.col("ingress"), F.col("share")).otherwise(none).alias("bytes_in"),
             F.when(F.col("ingress"), none).otherwise(F.col("share")).alias("bytes_out"),
             *normalize.VALUE_COLUMNS,
+            *keep,
         )
     )
 
