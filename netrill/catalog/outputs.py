@@ -30,7 +30,8 @@ def _ranked(spark: SparkSession, sf_dir: str, *shapes: str) -> DataFrame:
 
 
 def _samples(spark: SparkSession, sf_dir: str, options: FlowOptions = OPTIONS) -> DataFrame:
-    kept = samples.included(_ranked(spark, sf_dir), options).withColumn("pane", F.lit(0))
+    ranked = _ranked(spark, sf_dir, *samples.shapes(options))
+    kept = samples.included(ranked, options).withColumn("pane", F.lit(0))
     return samples.to_samples(kept, W)
 
 
@@ -276,7 +277,8 @@ def sink_kafka_json(spark, sf_dir):
 
 def _written_samples(spark: SparkSession, sf_dir: str, options: FlowOptions) -> DataFrame:
     path = shared_folder(spark, "samples")
-    kept = samples.included(_ranked(spark, sf_dir), options).withColumn("pane", F.lit(0))
+    ranked = _ranked(spark, sf_dir, *samples.shapes(options))
+    kept = samples.included(ranked, options).withColumn("pane", F.lit(0))
     writers.write_samples(kept, path, options)
     return spark.read.parquet(path)
 

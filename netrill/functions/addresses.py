@@ -49,7 +49,11 @@ def ipv6_bytes(texts: pd.Series) -> pd.Series:
 
 
 def packed(text: Column, with_ipv6: bool = True) -> Column:
-    """Address bytes; the Python worker only sees texts with a colon."""
+    """Address bytes. IPv4 stays native; only texts with a colon go to Python.
+
+    The worker gets nulls for all others. Data that is known to hold no IPv6
+    address skips it with ``with_ipv6=False``.
+    """
     native = number_bytes(ipv4_number(text))
     if not with_ipv6:
         return native

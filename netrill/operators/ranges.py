@@ -92,19 +92,30 @@ def configured_ranges(spark: SparkSession, considered_hosts: str) -> DataFrame:
     return parse_ranges(text, "text")
 
 
-def in_ranges(rows: DataFrame, address: str, ranges: DataFrame) -> DataFrame:
-    """Rows whose address lies in any range. Shorter addresses sort first.
+def inside_range(packed: Column) -> Column:
+    """Condition of a join with ranges: ``low`` <= address <= ``high``.
 
-    ``ranges`` comes from a run option, so it is broadcast.
+    Shorter addresses sort before longer ones.
     """
-    packed = rows.withColumn("packed_address", addresses.packed(F.col(address)))
-    value = F.col("packed_address")
 
     def not_after(left: Column, right: Column) -> Column:
         longer = F.octet_length(left) < F.octet_length(right)
         return longer | ((F.octet_length(left) == F.octet_length(right)) & (left <= right))
 
-    inside = not_after(F.col("low"), value) & not_after(value, F.col("high"))
-    return packed.join(F.broadcast(ranges.select("low", "high")), inside, "left_semi").drop(
-        "packed_address"
-    )
+    return not_after(F.col("low"), packed) & not_after(packed, F.col("high"))
+
+
+def in_ranges(
+    rows: DataFrame, address: str, ranges: DataFrame, others: Column | None = None
+) -> DataFrame:
+    """Rows whose address lies in any range, and those for which ``others`` holds.
+
+    ``ranges`` comes from a run option and is as small as that text, so it is
+    broadcast.
+    """
+    packed = rows.withColumn("packed_address", addresses.packed(F.col(address)))
+    inside = F.coalesce(inside_range(F.col("packed_address")), F.lit(False))
+    if others is not None:
+        inside = others | inside
+    listed = F.broadcast(ranges.select("low", "high"))
+    return packed.join(listed, inside, "left_semi").drop("packed_address")

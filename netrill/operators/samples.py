@@ -20,14 +20,26 @@ def _is(test) -> Column:
     return F.col("grouped_by").isin(*[n for n, shape in G.GROUPINGS.items() if test(shape)])
 
 
+def shapes(options: FlowOptions) -> list[str]:
+    """The shapes that may become samples; the others need not be summed."""
+    hosts = bool(options.considered_hosts.strip())
+    return [
+        name
+        for name in G.EMITTED
+        if not G.GROUPINGS[name].is_conversation and (hosts or not G.GROUPINGS[name].is_host)
+    ]
+
+
 def included(ranked: DataFrame, options: FlowOptions) -> DataFrame:
     """Rows that become samples: no conversations, hosts only if configured."""
     no_hosts = ~_is(lambda s: s.is_host or s.is_conversation)
-    if not options.considered_hosts.strip():
+    if not any(entry.strip() for entry in options.considered_hosts.split(",")):
         return ranked.filter(no_hosts)
     wanted = ranges.configured_ranges(ranked.sparkSession, options.considered_hosts)
-    hosts = ranges.in_ranges(ranked.filter(_is(lambda s: s.is_host)), "address", wanted)
-    return ranked.filter(no_hosts).unionByName(hosts)
+    # One pass over the ranked rows; only hosts have an address to look up.
+    hosts = _is(lambda s: s.is_host)
+    looked_up = ranked.filter(no_hosts | hosts).withColumn("host", F.when(hosts, F.col("address")))
+    return ranges.in_ranges(looked_up, "host", wanted, others=no_hosts).drop("host")
 
 
 def metric_name() -> Column:

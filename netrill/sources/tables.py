@@ -52,13 +52,15 @@ def flows_sql() -> str:
     return "select " + ",\n  ".join(flow_expressions()) + "\nfrom lineitem"
 
 
-def spread(table: DataFrame) -> DataFrame:
+def spread(table: DataFrame, *columns: str) -> DataFrame:
     """Redistribute a table that has fewer splits than the cluster has slots.
 
     A table of any size has more splits than that and is left alone.
     """
     slots = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(slots) if table.rdd.getNumPartitions() < slots else table
+    if table.rdd.getNumPartitions() >= slots:
+        return table
+    return table.repartition(slots, *columns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +69,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounded flow records."""
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(*flow_expressions())
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    return lines.selectExpr(*flow_expressions())
 
 
 def flow_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000) -> DataFrame:
