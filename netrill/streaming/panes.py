@@ -17,7 +17,7 @@ import os
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
@@ -26,7 +26,8 @@ from netrill.operators.windowing import window_rows
 from netrill.plans import groupings as G
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
-from netrill.streaming.windows import SLOT_MS, start
+from netrill.streaming.slots import read_slots, write_slots
+from netrill.streaming.windows import start
 
 EARLY, ON_TIME, LATE = "early", "on_time", "late"
 BEFORE_ALL, AFTER_ALL = -(1 << 62), 1 << 62
@@ -38,18 +39,18 @@ def _merged(rows: DataFrame) -> DataFrame:
 
 
 def _progress(spark: SparkSession, path: str, batch_id: int) -> tuple[int, int]:
-    """Newest event time and watermark after the last batch before this one."""
-    folder = os.path.join(path, "progress")
-    known = spark.read.schema("newest bigint, watermark bigint, batch bigint").parquet(folder)
-    last = known.filter(F.col("batch") < batch_id).orderBy(F.desc("batch")).limit(1).collect()
-    return (last[0].newest, last[0].watermark) if last else (BEFORE_ALL, BEFORE_ALL)
+    """Newest event time and watermark after the batch before this one."""
+    if batch_id == 0:
+        return BEFORE_ALL, BEFORE_ALL
+    folder = os.path.join(path, "progress", f"of={batch_id - 1}")
+    last = spark.read.schema("newest bigint, watermark bigint").parquet(folder).first()
+    return last.newest, last.watermark
 
 
 def _note(spark: SparkSession, path: str, batch_id: int, newest: int, watermark: int) -> None:
     spark.range(1).select(
         F.lit(newest).cast("bigint").alias("newest"),
         F.lit(watermark).cast("bigint").alias("watermark"),
-        F.lit(batch_id).cast("bigint").alias("batch"),
     ).write.mode("overwrite").parquet(os.path.join(path, "progress", f"of={batch_id}"))
 
 
@@ -57,46 +58,40 @@ def _write(panes: DataFrame, path: str, batch_id: int) -> None:
     panes.write.mode("overwrite").parquet(os.path.join(path, "panes", f"batch={batch_id}"))
 
 
-def _held(spark: SparkSession, path: str, before: int, until: int, batch_id: int) -> DataFrame:
+def _held(
+    spark: SparkSession, schema: T.StructType, path: str, before: int, until: int, batch_id: int
+) -> DataFrame:
     """Rows stored for windows that end after ``before``, at the latest ``until``."""
-    folder = os.path.join(path, "held")
-    stored = spark.read.option("basePath", folder).parquet(folder)
-    slot = F.col("slot")
-    return stored.filter(
-        (slot >= before // SLOT_MS)
-        & (slot <= until // SLOT_MS)
-        & (F.col("batch") <= batch_id)
-        & (F.col("window_end") > before)
-        & (F.col("window_end") <= until)
-    )
+    stored = read_slots(spark, schema, os.path.join(path, "held"), before, until, batch_id)
+    end = F.col("window_end")
+    return stored.filter((end > before) & (end <= until)).drop("slot")
 
 
 def pane_batch(flows: DataFrame, batch_id: int, path: str, options: FlowOptions) -> None:
     """One micro-batch of flow records."""
     spark = flows.sparkSession
-    if batch_id == 0:
-        _note(spark, path, -1, BEFORE_ALL, BEFORE_ALL)
     newest, before = _progress(spark, path, batch_id)
-    counted = Observation()
-    observed = flows.observe(counted, F.max("last_switched").alias("seen"))
+    seen, span = Observation(), Observation()
+    observed = flows.observe(seen, F.max("last_switched").alias("newest"))
     rows = _merged(window_rows(observed, options))
-    held_path = os.path.join(path, "held", f"batch={batch_id}")
-    slot = F.call_function("div", F.col("window_end"), F.lit(SLOT_MS)).alias("slot")
-    rows.select("*", slot).write.mode("overwrite").partitionBy("slot").parquet(held_path)
-    seen = counted.get["seen"]
-    newest = max(newest, BEFORE_ALL if seen is None else seen)
+    schema = T.StructType.fromJson(rows.schema.jsonValue())
+    ends = [F.min("window_end").alias("first"), F.max("window_end").alias("last")]
+    write_slots(rows.observe(span, *ends), os.path.join(path, "held"), batch_id)
+    newest = max(newest, seen.get["newest"] or BEFORE_ALL)
     now = int(time.time() * 1000)
     after = max(before, min(newest, now) - options.default_max_input_delay_ms)
 
-    arrived = spark.read.schema(rows.schema).parquet(held_path)
-
+    first, last = span.get["first"] or 0, span.get["last"] or 0
+    arrived = _held(spark, schema, path, first - 1, last, batch_id).filter(
+        F.col("batch") == batch_id
+    )
     end = F.col("window_end")
     late = arrived.filter((end <= before) & (end + options.allowed_lateness_ms > before))
     if options.early_processing_delay_ms:
         on_time = arrived.filter((end > before) & (end <= after))
         early = arrived.filter(end > after).withColumn("timing", F.lit(EARLY))
     else:
-        on_time = _held(spark, path, before, after, batch_id)
+        on_time = _held(spark, schema, path, before, after, batch_id)
         early = None
     panes = _merged(on_time).withColumn("timing", F.lit(ON_TIME)).unionByName(
         late.select(*_merged(late).columns).withColumn("timing", F.lit(LATE))
@@ -112,7 +107,11 @@ def drain(spark: SparkSession, path: str, batch_id: int, options: FlowOptions) -
     if options.early_processing_delay_ms:
         return
     _, before = _progress(spark, path, batch_id)
-    rows = _held(spark, path, before, AFTER_ALL, batch_id)
+    held_path = os.path.join(path, "held")
+    schema = T.StructType(
+        [f for f in spark.read.parquet(held_path).schema if f.name not in ("slot", "batch")]
+    )
+    rows = _held(spark, schema, path, before, AFTER_ALL, batch_id)
     _write(_merged(rows).withColumn("timing", F.lit(ON_TIME)), path, batch_id)
     _note(spark, path, batch_id, AFTER_ALL, AFTER_ALL)
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
@@ -25,8 +25,7 @@ from netrill.operators.windowing import window_rows
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
 from netrill.streaming.sinks import fan_out
-
-SLOT_MS = 10 * 60_000
+from netrill.streaming.slots import read_slots, write_slots
 
 # Recommended for streams: state on disk, with changes only per checkpoint.
 STATE_SETTINGS = {
@@ -110,23 +109,21 @@ TOUCHED = ["window_start", "node_id", "if_index"]
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, options: FlowOptions) -> None:
     """Store the changed leaf rows, then rebuild the interfaces they touch.
 
-    Both tables are one folder per batch, split by time slot. A batch that runs
-    again replaces its own folder and reads only earlier ones.
+    A batch that runs again replaces what it wrote and reads only what batches
+    up to itself brought.
     """
     spark = batch.sparkSession
     leaf_path, out_path = os.path.join(path, "leaf"), os.path.join(path, "summaries")
-    slot = F.call_function("div", F.col("window_start"), F.lit(SLOT_MS)).alias("slot")
-    changed_path = os.path.join(leaf_path, f"batch={batch_id}")
-    batch.select("*", slot).write.mode("overwrite").partitionBy("slot").parquet(changed_path)
-    changed = spark.read.schema(batch.select("*", slot).schema).parquet(changed_path)
-    slots = [row.slot for row in changed.select("slot").distinct().collect()]
-    if not slots:
+    schema = T.StructType.fromJson(batch.schema.jsonValue())
+    span = Observation()
+    ends = [F.min("window_end").alias("first"), F.max("window_end").alias("last")]
+    write_slots(batch.observe(span, *ends), leaf_path, batch_id)
+    first, last = span.get["first"], span.get["last"]
+    if first is None:
         return
-    # Only folders up to this batch, and only its slots, are read.
-    stored = spark.read.option("basePath", leaf_path).parquet(leaf_path)
-    stored = stored.filter(F.col("slot").isin(slots) & (F.col("batch") <= batch_id))
-    touched = changed.select(*TOUCHED).distinct()
-    values = [c for c in batch.columns if c not in KEY_COLUMNS]
+    stored = read_slots(spark, schema, leaf_path, first, last, batch_id)
+    touched = stored.filter(F.col("batch") == batch_id).select(*TOUCHED).distinct()
+    values = [name for name in batch.columns if name not in KEY_COLUMNS]
     newest = F.max_by(F.struct(*values), "batch").alias("newest")
     current = (
         stored.join(touched, TOUCHED, "left_semi")
@@ -183,11 +180,7 @@ def write_closing(flows: DataFrame, folder: str, newest_ms: int, options: FlowOp
         "last_switched": at,
     }
     row = [known.get(name) for name in flows.schema.names]
-    # Columns that the stream says are never null may be so here.
-    schema = flows.schema
-    relaxed = spark.createDataFrame([], schema).schema
-    for entry in relaxed.fields:
-        entry.nullable = True
+    relaxed = T.StructType([T.StructField(f.name, f.dataType) for f in flows.schema.fields])
     spark.createDataFrame([row], relaxed).write.mode("append").parquet(
         os.path.join(folder, CLOSING_ROWS)
     )
