@@ -6,13 +6,15 @@ everything but UDP flows first, then the UDP flows, which are late.
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netrill.catalog.oracle import ITF
 from netrill.catalog.records import WIRE_COLUMNS
-from netrill.catalog.registry import register
+from netrill.catalog.registry import Query
+from netrill.catalog.registry import register as register_query
 from netrill.config import FlowOptions
 from netrill.operators import aggregate, reports, windowing
 from netrill.plans import groupings as G
@@ -23,6 +25,33 @@ from netrill.session import shared_folder
 from netrill.sources import kafka, protobuf, tables
 from netrill.streaming import panes, replay, series, windows
 
+
+
+def register(name: str, select: str | None = None, **parameters: int):
+    """Register a query whose streams keep their state in few partitions.
+
+    A stream fixes its number of state partitions when it first starts. In a
+    local session the default number is far more than there are slots.
+    """
+
+    def add(build: Query) -> Query:
+        @functools.wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            setting = "spark.sql.shuffle.partitions"
+            before = spark.conf.get(setting)
+            if spark.sparkContext.master.startswith("local"):
+                slots = spark.sparkContext.defaultParallelism
+                spark.conf.set(setting, str(min(int(before), slots)))
+            try:
+                return build(spark, sf_dir)
+            finally:
+                spark.conf.set(setting, before)
+
+        return register_query(name, select, **parameters)(run)
+
+    return add
+
+
 OPTIONS = FlowOptions()
 W = OPTIONS.fixed_window_size_ms
 PARTS = ("not coalesce(protocol = 17, false)", "protocol = 17")
@@ -213,7 +242,7 @@ def _until_quiet(stream: DataFrame, folder: str, delay_ms: int) -> DataFrame:
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(processingTime="1 second").start()
     )
-    replay.run_until_quiet(query, written, quiet_s=3 + delay_ms / 1000, limit_s=120)
+    replay.run_until_quiet(query, written, delay_s=1 + delay_ms / 1000)
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 

@@ -34,20 +34,24 @@ def replay(flows: DataFrame, parts: Sequence[str], folder: str, begin: Starter)
     return following
 
 
-def run_until_quiet(query: StreamingQuery, written: list[int], quiet_s: float, limit_s: float) -> None:
-    """Wait until nothing was read or written for a while, then stop.
-
-    For operators with processing-time timers, which never run out of work.
-    ``written`` gets one entry per batch, its number of rows.
+def run_until_quiet(
+    query: StreamingQuery, written: list[int], delay_s: float, limit_s: float = 900
+) -> None:
+    """Wait until nothing more is read or written, then stop.
+
+    For operators with processing-time timers, which never run out of work:
+    they are done when several batches in a row, spanning more than the
+    operator's delay, neither read nor wrote. ``written`` gets one entry per
+    batch, its number of rows.
     """
-    ends, seen, last = time.time() + limit_s, 0, time.time()
+    ends, last_busy, calm = time.time() + limit_s, time.time(), 3
     while time.time() < ends and query.isActive:
         time.sleep(0.2)
-        progress = query.lastProgress
-        busy = progress is None or progress["numInputRows"] > 0 or any(written[seen:])
-        seen = len(written)
-        last = time.time() if busy else last
-        if time.time() - last > quiet_s:
+        recent = query.recentProgress[-calm:]
+        idle = len(recent) == calm and not any(p["numInputRows"] for p in recent)
+        if not idle or any(written[-calm:]):
+            last_busy = time.time()
+        elif time.time() - last_busy > delay_s:
             break
     while query.isActive and query.status["isTriggerActive"] and time.time() < ends:
         time.sleep(0.02)
