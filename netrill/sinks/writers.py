@@ -26,7 +26,7 @@ def batch_folder(path: str, batch_id: int) -> str:
 def write_documents(
     summaries: DataFrame, path: str, options: FlowOptions, batch_id: int = 0
 ) -> None:
-    """JSON lines, one folder per index. Lines of an index meet in few files."""
+    """JSON lines, one folder per index."""
     found = documents.documents(summaries, options)
     (
         found.select("index", F.concat(F.lit('{"_id":"'), "id", F.lit('",'), F.substring("value", 2, 1 << 30)).alias("value"))
