@@ -10,6 +10,7 @@ from netrill.session import shared_folder
 #: White space of the word contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
+NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netrill.llm.common import BLANK_RUN, BLANKS, held, table, text_or_empty
+from netrill.llm.common import BLANK_RUN, BLANKS, NOT_BLANK, held, table, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 
@@ -59,12 +59,8 @@ def _verdict(rule: Rule) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text) with the figures of every whole text."""
     text = text_or_empty()
-    trimmed = F.btrim(text, F.lit(BLANKS))
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, BLANK_RUN)
-    )
-    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
-    stops = F.array(*[F.lit(word) for word in STOP_WORDS])
+    words = F.filter(F.split(text, BLANK_RUN), lambda word: word != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_BLANK))
     out = docs.select(F.col("doc_id"), F.col("text"))
     out = held(out, words=words, lines=lines)
     out = out.select(
@@ -74,7 +70,7 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("words", lambda word: F.array_contains(stops, F.lower(word))))
+        F.size(F.filter("words", lambda word: F.lower(word).isin(STOP_WORDS)))
         .cast("long")
         .alias("n_stop_words"),
         F.transform("words", lambda word: F.xxhash64(word)).alias("codes"),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from netrill.llm import decontamination, licenses, quality
+from netrill.llm import decontamination, licenses, pieces, quality, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_license_scan": licenses.query,
+    "op4_warc_bundles": warc.query,
     "op9_quality_rules": quality.query,
+    "op10_sentencepiece": pieces.query,
 }
 
 STATEMENTS = {
     "op1_decontamination": decontamination.SQL,
     "op2_license_scan": licenses.SQL,
+    "op4_warc_bundles": warc.SQL,
     "op9_quality_rules": quality.SQL,
 }
