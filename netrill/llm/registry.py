@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from netrill.llm import decontamination, licenses, pieces, quality, warc
+from netrill.llm import (
+    decontamination,
+    language_model,
+    licenses,
+    pieces,
+    privacy,
+    quality,
+    warc,
+)
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_license_scan": licenses.query,
     "op4_warc_bundles": warc.query,
+    "op6_privacy": privacy.query,
+    "op8_language_model": language_model.query,
     "op9_quality_rules": quality.query,
     "op10_sentencepiece": pieces.query,
 }
