@@ -9,6 +9,7 @@ from netrill.llm import (
     pieces,
     privacy,
     quality,
+    toxicity,
     warc,
 )
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_license_scan": licenses.query,
     "op4_warc_bundles": warc.query,
     "op6_privacy": privacy.query,
+    "op7_toxicity": toxicity.query,
     "op8_language_model": language_model.query,
     "op9_quality_rules": quality.query,
     "op10_sentencepiece": pieces.query,
