@@ -303,18 +303,20 @@ def train(toxic: list[set[str]], clean: list[set[str]]) -> Weights:
         margins |= dict(zip(own, weights.unit_margins(own).tolist(), strict=True))
         times = picked(margins, 0.0)
     worst_bad = np.array([max(margins[u] for u in text) for text in bad])
-    # Varied units count as toxic texts too, so that the scale leaves room for them.
-    worst_bad = np.r_[worst_bad, weights.unit_margins([v for v, _ in varied])]
     worst_good = np.array([max(margins[u] for u in text) for text in good])
-    return _scaled(weights, worst_bad, worst_good)
+    return _scaled(weights, worst_bad, worst_good, weights.unit_margins([v for v, _ in varied]))
 
 
-def _scaled(weights: Weights, bad: np.ndarray, good: np.ndarray) -> Weights:
-    """Fit the logistic scale of text margins, with targets held off 0 and 1."""
-    x = np.r_[bad, good].astype(np.float64)
+def _scaled(weights: Weights, bad: np.ndarray, good: np.ndarray, varied: np.ndarray) -> Weights:
+    """Fit the logistic scale of text margins, with targets held off 0 and 1.
+
+    Varied units count a little as toxic texts, so that the scale leaves room for them.
+    """
+    x = np.r_[bad, good, varied].astype(np.float64)
     high, low = (len(bad) + 1) / (len(bad) + 2), 1 / (len(good) + 2)
-    y = np.r_[np.full(len(bad), high), np.full(len(good), low)]
-    cost = np.r_[np.full(len(bad), 0.5 / len(bad)), np.full(len(good), 0.5 / len(good))]
+    sizes = (len(bad), len(good), len(varied))
+    y = np.repeat([high, low, high], sizes)
+    cost = np.repeat([0.5 / len(bad), 0.5 / len(good), 0.04 / max(1, len(varied))], sizes)
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
