@@ -6,6 +6,7 @@ from netrill.llm import (
     decontamination,
     language_model,
     licenses,
+    near_duplicates,
     pieces,
     privacy,
     quality,
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_license_scan": licenses.query,
     "op4_warc_bundles": warc.query,
+    "op5_near_duplicates": near_duplicates.query,
     "op6_privacy": privacy.query,
     "op7_toxicity": toxicity.query,
     "op8_language_model": language_model.query,
@@ -28,5 +30,6 @@ STATEMENTS = {
     "op1_decontamination": decontamination.SQL,
     "op2_license_scan": licenses.SQL,
     "op4_warc_bundles": warc.SQL,
+    "op5_near_duplicates": near_duplicates.SQL,
     "op9_quality_rules": quality.SQL,
 }
