@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from netrill.llm import (
     decontamination,
     language_model,
@@ -10,6 +11,7 @@ from netrill.llm import (
     pieces,
     privacy,
     quality,
+    repeats,
     toxicity,
     warc,
 )
@@ -17,6 +19,7 @@ from netrill.llm import (
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_license_scan": licenses.query,
+    "op3_repeats": repeats.query,
     "op4_warc_bundles": warc.query,
     "op5_near_duplicates": near_duplicates.query,
     "op6_privacy": privacy.query,
@@ -24,6 +27,7 @@ QUERIES = {
     "op8_language_model": language_model.query,
     "op9_quality_rules": quality.query,
     "op10_sentencepiece": pieces.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 STATEMENTS = {
@@ -33,3 +37,5 @@ STATEMENTS = {
     "op5_near_duplicates": near_duplicates.SQL,
     "op9_quality_rules": quality.SQL,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    STATEMENTS["pipeline"] = corpus_pipeline.ORACLE_SQL
