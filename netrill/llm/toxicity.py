@@ -21,6 +21,7 @@ columns under their names, other functions don't read them.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain, combinations
@@ -35,7 +36,7 @@ from netrill.llm.common import table
 FOLDS, HELD_OUT = 3, 1
 REJECT = 0.7
 #: Bounds of the sample: labelled texts of each kind, and characters of a text that is learnt from.
-SAMPLE, SAMPLE_CHARS = 4000, 20_000
+TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_CHARS = 1500, 3000, 20_000
 DECAY, LANDMARKS, CLEAN_LANDMARKS, ROUNDS = 0.7, 72, 24, 3
 NEGATIVES, HARD, COST = 20_000, 6_000, 1000
 #: Longest unit with its two borders, and the step of windows over longer words.
@@ -165,7 +166,7 @@ def _features(codes: list[list[int]], dense: np.ndarray, root: np.ndarray) -> np
     flat = np.ascontiguousarray(dense.T)
     for where, block in by_size(codes):
         weights = _shape(block.shape[1])[1]
-        for part in np.array_split(np.arange(len(where)), max(1, len(where) // 256)):
+        for part in np.array_split(np.arange(len(where)), max(1, len(where) // 64)):
             got = np.einsum("nck,c->nk", flat[triples(block[part])], weights, optimize=True)
             kernels[where[part]] = got / norms(block[part])[:, None]
     return kernels @ root
@@ -204,13 +205,11 @@ def _document_counts(texts: list[list[str]]) -> dict[str, int]:
 
 def _first_values(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, float]:
     """How telling the most telling group of four characters of each unit is, in deviations."""
-    units = {u for text in [*toxic, *clean] for u in text}
-    grams = {u: _grams(u) for u in units}
     counts = []
     for texts in (toxic, clean):
         n: dict[str, int] = {}
         for text in texts:
-            for gram in set().union(*[grams[u] for u in text]):
+            for gram in {gram for unit in text for gram in _grams(unit)}:
                 n[gram] = n.get(gram, 0) + 1
         counts.append(n)
     size, other = len(toxic), len(clean)
@@ -220,8 +219,8 @@ def _first_values(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, f
         share = (a + b + 1) / (size + other + 2)
         return (a / size - b / other) / np.sqrt(share * (1 - share) * (1 / size + 1 / other))
 
-    value = {gram: telling(gram) for gram in {*counts[0], *counts[1]}}
-    return {u: max(value[g] for g in grams[u]) for u in units}
+    value = {gram: telling(gram) for gram in counts[0]}
+    return {u: max(value[g] for g in _grams(u)) for u in {u for text in toxic for u in text}}
 
 
 def _landmarks(codes: list[list[int]], most: int) -> list[int]:
@@ -292,7 +291,7 @@ def train(toxic: list[set[str]], clean: list[set[str]]) -> Weights:
         loss = np.sqrt([n for _, n in negative_units])
         x = _features([*positive_codes, *[c for c, _ in negative_units]], dense, root)
         y = np.r_[np.ones(len(positive_codes)), -np.ones(len(negative_units))]
-        cost = np.r_[gain / gain.sum(), 4 * loss / loss.sum()]
+        cost = np.r_[gain / gain.sum(), 8 * loss / loss.sum()]
         w = _machine(x, y, cost * COST)
         weights = Weights((dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
         # The units that count in toxic texts, and the clean units that look worst.
@@ -339,21 +338,21 @@ def _fold(doc_id):
 def learned(docs: DataFrame, labels: DataFrame) -> Weights:
     """Train on a bounded sample of labelled rows that aren't held out.
 
-    `SAMPLE` labels of each kind, in the order of their ids' hashes, are joined with `docs`.
+    So many labels of each kind, in the order of their ids' hashes, are joined with `docs`.
     """
     own = labels.where("doc_id is not null and toxic is not null").where(_fold(F.col("doc_id")) != HELD_OUT)
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    picked = own.where("toxic = 1").orderBy(*order).limit(SAMPLE)
-    picked = picked.unionAll(own.where("toxic = 0").orderBy(*order).limit(SAMPLE))
+    picked = own.where("toxic = 1").orderBy(*order).limit(TOXIC_SAMPLE)
+    picked = picked.unionAll(own.where("toxic = 0").orderBy(*order).limit(CLEAN_SAMPLE))
     picked = picked.select(F.col("doc_id").alias("_labelled"), F.col("toxic").alias("_toxic"))
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     rows = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_labelled"))
     # Repeated ids could bring more rows than labels.
-    rows = rows.select("_toxic", "text").limit(4 * SAMPLE).toLocalIterator()
+    rows = rows.select("_toxic", "text").limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE)).toLocalIterator()
     kinds: tuple[list[set[str]], list[set[str]]] = [], []
     for toxic, text in rows:
-        kinds[int(toxic)].append(units_of(text))
+        kinds[int(toxic)].append({sys.intern(unit) for unit in units_of(text)})
     return train(kinds[1], kinds[0])
 
 
