@@ -48,7 +48,13 @@ def digest_of(payload: bytes) -> str:
 
 
 def record_bytes(
-    record_id: str, uri: str, page_id: int | None, payload: bytes, digest: str, refers_to: tuple | None
+    record_id: str,
+    uri: str,
+    page_id: int | None,
+    payload: bytes,
+    length: int,
+    digest: str,
+    refers_to: tuple | None,
 ) -> bytes:
     """One WARC/1.1 record; a revisit (`refers_to`: (page_id,)) has headers only."""
     headers = [
@@ -58,7 +64,7 @@ def record_bytes(
         ("WARC-Target-URI", "".join(c if c > " " else f"%{ord(c):02X}" for c in uri)),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("X-Page-ID", "" if page_id is None else str(page_id)),
-        ("X-Payload-Length", str(len(payload))),
+        ("X-Payload-Length", str(length)),
     ]
     body = payload
     if refers_to is not None:
@@ -190,15 +196,21 @@ def _writer(folder: str):
             return out
 
         for batch in batches:
-            columns = [batch.column(n) for n in ("page_id", "url", "html", "revisit", "refers_to")]
-            for page_id, url, html, revisit, refers_to in zip(*(c.to_pylist() for c in columns), strict=True):
+            names = ("page_id", "url", "digest", "length", "html", "revisit", "refers_to")
+            columns = [batch.column(name).to_pylist() for name in names]
+            for page_id, url, digest, length, html, revisit, refers_to in zip(*columns, strict=True):
                 if bundle is None:
                     name = f"bundle-{uuid.uuid4().hex}.warc.zst"
                     bundle = BundleWriter(system, f"{base}/{name}")
-                payload = html.encode()
                 ident = str(uuid.uuid4())
                 record = record_bytes(
-                    ident, url, page_id, payload, digest_of(payload), (refers_to,) if revisit else None
+                    ident,
+                    url,
+                    page_id,
+                    (html or "").encode(),
+                    length,
+                    base64.b32encode(bytes.fromhex(digest)).decode(),
+                    (refers_to,) if revisit else None,
                 )
                 frame, place = bundle.add(record)
                 rows.append((ident, page_id, name, frame, place, len(record)))
@@ -212,30 +224,31 @@ def _writer(folder: str):
 
 
 def with_types(pages: DataFrame) -> DataFrame:
-    """page_id, url, html (never null), revisit, refers_to.
+    """page_id, url, digest, length, html, revisit, refers_to; html is null for revisits.
 
-    Digests alone are grouped first; a hot payload is then a join whose large side
-    adaptive execution can split.
+    Types are found without payloads. Payloads are shuffled once, equal ones of a task
+    together, and only to the response that holds them.
     """
-    # A null page_id sorts below any other: its rank is the lowest long.
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url"), F.lit("")).alias("url"),
-        html.alias("html"),
         F.sha1(html).alias("digest"),
+        html.alias("html"),
     )
-    order = F.struct(F.col("page_id").isNotNull(), F.col("page_id"))
-    top = rows.groupBy("digest").agg(
-        F.max(order).alias("top"), F.count("*").alias("n"), F.max("page_id").alias("refers_to")
-    )
-    joined = rows.join(top, "digest")
+    slim = rows.select("page_id", "url", "digest", F.octet_length("html").cast("long").alias("length"))
+    # max() passes over nulls, so refers_to is null only where all page_ids are.
+    top = slim.groupBy("digest").agg(F.max("page_id").alias("refers_to"))
+    joined = slim.join(top, "digest")
     same = F.col("page_id").eqNullSafe(F.col("refers_to"))
     # Ties: among rows of the largest page_id, the first by url. Only they are ranked.
     tied = W.partitionBy("digest", "page_id").orderBy("url")
     heads = joined.where(same).withColumn("revisit", F.row_number().over(tied) > 1)
-    rest = joined.where(~same).withColumn("revisit", F.lit(True))
-    return heads.unionByName(rest).select("page_id", "url", "html", "revisit", "refers_to")
+    payloads = rows.groupBy("digest").agg(F.first("html").alias("html"))
+    responses = heads.where("not revisit").join(payloads, "digest")
+    others = heads.where("revisit").unionByName(joined.where(~same).withColumn("revisit", F.lit(True)))
+    out = responses.unionByName(others.withColumn("html", F.lit(None).cast("string")))
+    return out.select("page_id", "url", "digest", "length", "html", "revisit", "refers_to")
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
