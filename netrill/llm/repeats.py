@@ -283,7 +283,9 @@ def stretches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A hash at two places: by a code of (text, place), so that equal texts don't count twice.
     spot = F.xxhash64("code", "place")
     twice = found.groupBy("key").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
-    open_ = found.join(twice.where("low <> high").select("key"), "key", "left_semi")
+    # Written, so that both sides of the join are plain shuffles and a hot key can be split.
+    twice = written(twice.where("low <> high").select("key"), "repeat-keys")
+    open_ = found.join(twice, "key", "left_semi")
     open_ = open_.groupBy("code").agg(F.collect_set(F.struct("key", "place", "first", "last")).alias("anchors"))
     texts = docs.groupBy("code").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     held = written(texts.join(open_, "code", "left"), "repeat-texts")
