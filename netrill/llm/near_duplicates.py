@@ -4,12 +4,13 @@ Texts with one shingle set are one class. A class has COORDINATES minima; it is
 under those (coordinate, value) pairs that another class has too. Two classes with at
 least AGREE equal coordinates share one of the first `n - AGREE + 1` of their n postings
 in any common order (prefix), and rare pairs come first, so hot ones are left out. From the
-postings candidates are taken in two passes. First each class meets the smallest class
-of each of its postings, which joins a group of copies by links that grow with its size,
-not with its square. Then only postings whose classes are still in different components
-are merged pair by pair, in blocks of bounded size: pairs of one component are skipped and
-equal coordinates are counted; pairs with AGREE or more go on. All candidates are
-confirmed on the full sets, by 100 * intersection >= 75 * union.
+postings candidates are taken in turns. First each class meets the smallest class of
+each of its postings, which joins a group of copies by links that grow with its size, not
+with its square. Then only postings whose classes are still in different components are
+merged pair by pair, in blocks of bounded size: pairs of one component are skipped, equal
+coordinates are counted, and pairs with AGREE or more go on; first only the best
+pair of each class, in the last turn all that are left. All candidates are confirmed on
+the full sets, by 100 * intersection >= 75 * union.
 
 With the given numbers a pair of similarity 0.75 has fewer equal coordinates than AGREE
 with a probability below 1 in 200,000, and a larger similarity far below that.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,8 @@ COORDINATES, AGREE = 64, 30
 SIMILAR = 75
 #: Classes of a posting that are merged with one another in one group.
 BLOCK = 1500
+#: Turns in which each class meets only its best partner outside its component.
+BEST_TURNS = 1
 KEEP_HASHES = 300_000
 
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -211,8 +215,11 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return written(rows.mapInArrow(_confirming, "a bigint, b bigint"), "near-links")
 
 
-def _merged_blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of different components with AGREE equal coordinates, of rows sorted by group."""
+def _merged_blocks(rows: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
+    """Pairs of different components with AGREE equal coordinates, of rows sorted by group.
+
+    With `best`, only each class's pair with the most equal coordinates.
+    """
 
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         first = group[group["side"] == 0]
@@ -231,7 +238,8 @@ def _merged_blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 open_[: place + 1] = False
             where = np.flatnonzero(open_)
             if len(where):
-                where = where[(s2[where] == s1[place]).sum(axis=1) >= AGREE]
+                equal = (s2[where] == s1[place]).sum(axis=1)
+                where = where[equal >= AGREE] if not best or equal.max() < AGREE else where[[equal.argmax()]]
                 out += [(min(ident, x), max(ident, x)) for x in id2[where]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -248,8 +256,8 @@ def _merged_blocks(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pairs(pd.concat(held))
 
 
-def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of postings whose classes lie in different components."""
+def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
+    """Candidate pairs of postings whose classes lie in different components: all, or the best of each class."""
     known = posted.join(labels, F.col("class_id") == F.col("id"), "left")
     known = known.select("token", "class_id", F.coalesce("label", "class_id").alias("label"))
     open_ = known.groupBy("token").agg(
@@ -270,7 +278,8 @@ def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFra
     )
     rows = rows.join(classes.select("class_id", "signature"), "class_id")
     rows = rows.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j")
-    return rows.mapInPandas(_merged_blocks, "a bigint, b bigint").distinct()
+    merging = partial(_merged_blocks, best=best)
+    return rows.mapInPandas(lambda frames: merging(frames), "a bigint, b bigint").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -278,15 +287,16 @@ def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     posted = postings(classes)
     low = posted.groupBy("token").agg(F.min("class_id").alias("b"))
     star = posted.join(low, "token").where("class_id <> b").select(F.col("class_id").alias("a"), "b").distinct()
-    first = confirmed(written(_agreeing(star, classes), "near-pairs"), classes, docs)
-    labels = components(first)
-    rest = written(_across(posted, labels, classes), "near-pairs")
-    if rest.isEmpty():
-        return first, labels
-    second = confirmed(rest, classes, docs)
-    every = first.unionAll(second)
-    # Linked pairs of the second pass join whole components of the first.
-    return every, components(every)
+    every = confirmed(written(_agreeing(star, classes), "near-pairs"), classes, docs)
+    labels = components(every)
+    # Best pairs first: they join what belongs together with few pairs. The last turn takes all.
+    for best in (*[True] * BEST_TURNS, False):
+        rest = written(_across(posted, labels, classes, best), "near-pairs")
+        if rest.isEmpty():
+            break
+        every = written(every.unionAll(confirmed(rest, classes, docs)), "near-links")
+        labels = components(every)
+    return every, labels
 
 
 def grouped(docs: DataFrame) -> DataFrame:
