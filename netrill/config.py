@@ -21,7 +21,8 @@ class FlowOptions:
     late_processing_delay_ms: int = MINUTE_MS
     allowed_lateness_ms: int = 4 * 60 * MINUTE_MS
     summary_accumulation_delay_ms: int = 0
-    max_clock_ahead_ms: int | None = None
+    # Flows that end later than this after now are set aside; None lets any clock through.
+    max_clock_ahead_ms: int | None = 60 * MINUTE_MS
     # metric samples
     metric_accumulation_delay_ms: int = 0
     metric_max_batch_size: int = 10_000
@@ -34,6 +35,7 @@ class FlowOptions:
     bootstrap_servers: str = "localhost:9092"
     group_id: str = "netrill"
     auto_commit: bool = True
+    starting_offsets: str = "earliest"
     source_topic: str = "flows"
     destination_topic: str = ""
     client_properties: str = ""

@@ -38,7 +38,7 @@ def conversation_key(
     head = F.to_json(F.array(location))
     tail = F.to_json(F.array(address, larger, application))
     head = F.substring(head, F.lit(1), F.length(head) - 1)
-    careful = F.concat(head, F.lit(","), number, F.lit(","), F.substring(tail, 2, 1 << 30))
+    careful = F.concat(head, F.lit(","), number, F.lit(","), F.substring(tail, F.lit(2), F.length(tail)))
     for character, escape in ESCAPED_CHARACTERS:
         careful = F.replace(careful, F.lit(character), F.lit(escape))
     texts = F.concat(location, address, larger, application)

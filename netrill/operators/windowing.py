@@ -15,6 +15,8 @@ START_BEFORE_SHIFT = "start_before_shift"
 END_BEFORE_START = "end_before_start"
 REACHES_BACK = "reaches_back"
 AHEAD_OF_CLOCK = "ahead_of_clock"
+#: Reserved node of records that only close windows; no clock limit holds for them.
+CLOSING_NODE = -1
 
 
 def _span(options: FlowOptions) -> tuple[Column, Column, Column]:
@@ -38,7 +40,7 @@ def drop_reason(options: FlowOptions) -> Column:
     ahead = F.lit(False)
     if options.max_clock_ahead_ms is not None:
         limit = F.unix_millis(F.current_timestamp()) + F.lit(options.max_clock_ahead_ms)
-        ahead = last > limit
+        ahead = (last > limit) & (F.col("node_id") != CLOSING_NODE)
     return (
         F.when(F.col("node_id").isNull(), MISSING_EXPORTER)
         .when(F.col("delta_switched") < F.col("shift"), START_BEFORE_SHIFT)

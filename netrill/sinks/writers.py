@@ -29,7 +29,7 @@ def write_documents(
     """JSON lines, one folder per index."""
     found = documents.documents(summaries, options)
     (
-        found.select("index", F.concat(F.lit('{"_id":"'), "id", F.lit('",'), F.substring("value", 2, 1 << 30)).alias("value"))
+        found.select("index", F.concat(F.lit('{"_id":"'), "id", F.lit('",'), F.substring("value", F.lit(2), F.length("value"))).alias("value"))
         .write.mode("overwrite")
         .partitionBy("index")
         .text(batch_folder(path, batch_id))

@@ -6,6 +6,8 @@ query's checkpoint. Everything after ``value`` is the same for file sources.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 from netrill.config import FlowOptions
@@ -26,23 +28,38 @@ def client_properties(path: str) -> dict[str, str]:
     return found
 
 
+#: Spark sets these itself and refuses them as client settings.
+MANAGED = (
+    "group.id",
+    "enable.auto.commit",
+    "auto.offset.reset",
+    "interceptor.classes",
+    "key.deserializer",
+    "value.deserializer",
+    "key.serializer",
+    "value.serializer",
+)
+
+
 def _client_options(options: FlowOptions) -> dict[str, str]:
     """Properties of the file, overridden by the configured servers."""
     known = client_properties(options.client_properties)
-    # Spark manages these itself and refuses them as client settings.
-    for managed in ("group.id", "enable.auto.commit", "key.deserializer", "value.deserializer"):
-        known.pop(managed, None)
+    for managed in MANAGED:
+        if known.pop(managed, None) is not None:
+            warnings.warn(f"{managed} is managed by Spark and left out", stacklevel=3)
     found = {f"kafka.{name}": value for name, value in known.items()}
     found["kafka.bootstrap.servers"] = options.bootstrap_servers
     return found
 
 
 def consumer_options(options: FlowOptions) -> dict[str, str]:
+    """`auto.offset.reset` of the properties file, if given, says where a new query starts."""
+    reset = client_properties(options.client_properties).get("auto.offset.reset")
     return {
         **_client_options(options),
         "subscribe": options.source_topic,
         "groupIdPrefix": options.group_id,
-        "startingOffsets": "latest" if options.auto_commit else "earliest",
+        "startingOffsets": reset or options.starting_offsets,
         "failOnDataLoss": "true",
     }
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
 from netrill.operators.aggregate import merged_names, merged_values
-from netrill.operators.windowing import window_rows
+from netrill.operators.windowing import CLOSING_NODE, window_rows
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
 from netrill.streaming.sinks import fan_out
@@ -173,7 +173,7 @@ def write_closing(flows: DataFrame, folder: str, newest_ms: int, options: FlowOp
     spark = flows.sparkSession
     at = newest_ms + closing_delay_ms(options) + 2 * options.fixed_window_size_ms
     known = {
-        "node_id": 0,
+        "node_id": CLOSING_NODE,
         "num_bytes": 0,
         "delta_switched": at,
         "first_switched": at,

@@ -75,6 +75,7 @@ def test_topic_settings(tmp_path):
     found = kafka.consumer_options(options)
     assert found["kafka.security.protocol"] == "SSL"
     assert found["kafka.bootstrap.servers"] == "b:9"
+    assert found["startingOffsets"] == "earliest"
     assert found["subscribe"] == "t" and "kafka.group.id" not in found
     assert kafka.producer_options(FlowOptions(destination_topic="d"))["topic"] == "d"
 

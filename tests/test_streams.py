@@ -111,6 +111,22 @@ def test_flows_ahead_of_the_clock_are_set_aside(spark):
     assert [r.reason for r in reasons] == ["ahead_of_clock"]
 
 
+def test_closing_records_pass_the_clock_limit(spark, tmp_path):
+    import time
+
+    from netrill.operators import windowing
+
+    options = FlowOptions(max_clock_ahead_ms=60_000)
+    now = int(time.time() * 1000)
+    given = flows(spark, [flow(now - 1000, now, 1)])
+    windows.write_closing(given, str(tmp_path), now, options)
+    closing = spark.read.parquet(f"{tmp_path}/{windows.CLOSING_ROWS}")
+    assert windowing.window_rows(closing, options).count() == 1
+    # By default a far clock is set aside, so that it can't close the windows of others.
+    far = flows(spark, [flow(now + 10**12, now + 10**12, 1)])
+    assert windowing.window_rows(far, FlowOptions()).count() == 0
+
+
 def test_series_indexes_on_a_stream(spark, tmp_path):
     folder = str(tmp_path)
     rows = spark.createDataFrame(
