@@ -4,13 +4,14 @@ Texts with one shingle set are one class. A class has COORDINATES minima; it is
 under those (coordinate, value) pairs that another class has too. Two classes with at
 least AGREE equal coordinates share one of the first `n - AGREE + 1` of their n postings
 in any common order (prefix), and rare pairs come first, so hot ones are left out. From the
-postings candidates are taken in turns. First each class meets the smallest class of
+postings candidates are taken in two turns. First each class meets the smallest class of
 each of its postings, which joins a group of copies by links that grow with its size, not
 with its square. Then only postings whose classes are still in different components are
-merged pair by pair, in blocks of bounded size: pairs of one component are skipped, equal
-coordinates are counted, and pairs with AGREE or more go on; first only the best
-pair of each class, in the last turn all that are left. All candidates are confirmed on
-the full sets, by 100 * intersection >= 75 * union.
+merged, in pairs of blocks of bounded size: pairs of one component are skipped, equal
+coordinates are counted, and pairs with AGREE or more are confirmed where they meet. A
+pair of blocks gives no pair out but the links that join components not yet joined by it,
+so its output stays below its number of classes. All candidates are confirmed on the full
+sets, by 100 * intersection >= 75 * union.
 
 With the given numbers a pair of similarity 0.75 has fewer equal coordinates than AGREE
 with a probability below 1 in 200,000, and a larger similarity far below that.
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -41,10 +41,8 @@ from netrill.llm.components import components
 WORDS = 5
 COORDINATES, AGREE = 64, 30
 SIMILAR = 75
-#: Classes of a posting that are merged with one another in one group.
-BLOCK = 1500
-#: Turns in which each class meets only its best partner outside its component.
-BEST_TURNS = 1
+#: Classes of a posting, and shingles of these, that are merged with one another in one group.
+BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
 KEEP_HASHES = 300_000
 
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -189,84 +187,109 @@ def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _confirming(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingle = Shingler()
-    last, codes = None, np.zeros(0, np.uint64)
     for batch in batches:
-        keep = []
-        for one, other in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-            # Rows come sorted by b, so its set is often the one before.
-            if other != last:
-                last, codes = other, shingle(other)
-            keep.append(similar(shingle(one), codes))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        codes = [shingle(text).tobytes() for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(codes, pa.binary())], ["class_id", "codes"])
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Written pairs (a, b) whose full sets are similar."""
+def sets_of(posted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Written (class_id, codes): the full set of each class that has a posting."""
     texts = docs.select(_text_code().alias("text_code"), "text")
     texts = texts.groupBy("text_code").agg(F.first("text").alias("text"))
-    needed = pairs.select(F.col("a").alias("class_id")).unionAll(pairs.select(F.col("b").alias("class_id")))
-    codes = classes.select("class_id", "text_code").join(needed.distinct(), "class_id")
-    texts = written(texts.join(codes, "text_code").select("class_id", "text"), "near-texts")
-    one = texts.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+    needed = classes.select("class_id", "text_code").join(posted.select("class_id").distinct(), "class_id")
+    rows = texts.join(needed, "text_code").select("class_id", "text")
+    return written(rows.mapInArrow(_shingling, "class_id bigint, codes binary"), "near-sets")
+
+
+def _confirming(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [
+            similar(np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64))
+            for one, other in zip(batch.column("codes_a"), batch.column("codes_b"), strict=True)
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Written pairs (a, b) whose full sets are similar."""
+    one = sets.select(F.col("class_id").alias("a"), F.col("codes").alias("codes_a"))
+    other = sets.select(F.col("class_id").alias("b"), F.col("codes").alias("codes_b"))
+    rows = pairs.join(one, "a").join(other, "b").select("a", "b", "codes_a", "codes_b")
     return written(rows.mapInArrow(_confirming, "a bigint, b bigint"), "near-links")
 
 
-def _merged_blocks(rows: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
-    """Pairs of different components with AGREE equal coordinates, of rows sorted by group.
+def joining(group: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links between the two sides of a pair of blocks that join its components.
 
-    With `best`, only each class's pair with the most equal coordinates.
+    A block with itself has one side. Of links between components that are joined
+    already, by a label or by links before, none is given.
     """
+    sides = [part for _, part in group.groupby("side")]
+    same, first = len(sides) == 1, len(sides[0])
+    group = pd.concat(sides)
+    ids, labels, n = (group[name].to_numpy().copy() for name in ("class_id", "label", "n_shingles"))
+    signs = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, COORDINATES)
+    ends = np.cumsum(n)
+    words, marked = None, None
+    out = []
+    for place in range(first):
+        begin = place + 1 if same else first
+        where = begin + np.flatnonzero(labels[begin:] != labels[place])
+        fits = 100 * np.minimum(n[where], n[place]) >= SIMILAR * np.maximum(n[where], n[place])
+        where = where[fits]
+        where = where[(signs[where] == signs[place]).sum(axis=1) >= AGREE]
+        if not len(where):
+            continue
+        if words is None:
+            # Shingles of this pair of blocks, numbered.
+            every, words = np.unique(np.frombuffer(b"".join(group["codes"]), np.uint64), return_inverse=True)
+            marked = np.zeros(len(every), bool)
+        own = words[ends[place] - n[place] : ends[place]]
+        marked[own] = True
+        theirs = np.concatenate([words[ends[x] - n[x] : ends[x]] for x in where])
+        begins = np.cumsum(n[where]) - n[where]
+        both = np.add.reduceat(marked[theirs].astype(np.int64), begins)
+        marked[own] = False
+        for x in where[100 * both >= SIMILAR * (n[where] + n[place] - both)]:
+            if labels[x] != labels[place]:
+                out.append((min(ids[x], ids[place]), max(ids[x], ids[place])))
+                labels[labels == labels[x]] = labels[place]
+    return out
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        first = group[group["side"] == 0]
-        second = group[group["side"] == 1]
-        out = []
-        same = len(second) == 0  # a block with itself
-        second = first if same else second
-        s1, s2 = (
-            np.frombuffer(b"".join(part["signature"]), np.uint32).reshape(-1, COORDINATES)
-            for part in (first, second)
-        )
-        l2, id2 = second["label"].to_numpy(), second["class_id"].to_numpy()
-        for place, (ident, label) in enumerate(zip(first["class_id"], first["label"], strict=True)):
-            open_ = l2 != label
-            if same:
-                open_[: place + 1] = False
-            where = np.flatnonzero(open_)
-            if len(where):
-                equal = (s2[where] == s1[place]).sum(axis=1)
-                where = where[equal >= AGREE] if not best or equal.max() < AGREE else where[[equal.argmax()]]
-                out += [(min(ident, x), max(ident, x)) for x in id2[where]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+def _merging(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """`joining` of each pair of blocks, from rows sorted by it."""
+
+    def done(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.DataFrame(joining(pd.concat(parts)), columns=["a", "b"], dtype="int64")
 
     held: list[pd.DataFrame] = []
     key = None
-    for frame in rows:
+    for frame in frames:
         for now, group in frame.groupby(["token", "i", "j"], sort=False):
             if now != key and held:
-                yield pairs(pd.concat(held))
+                yield done(held)
                 held = []
             key = now
             held.append(group)
     if held:
-        yield pairs(pd.concat(held))
+        yield done(held)
 
 
-def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
-    """Candidate pairs of postings whose classes lie in different components: all, or the best of each class."""
+def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components, from the postings that have classes of several."""
     known = posted.join(labels, F.col("class_id") == F.col("id"), "left")
     known = known.select("token", "class_id", F.coalesce("label", "class_id").alias("label"))
+    known = known.join(classes.select("class_id", "n_shingles"), "class_id")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
     open_ = known.groupBy("token").agg(
-        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")
+        blocks.cast("int").alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    open_ = open_.where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = known.join(open_, "token")
+    rows = known.join(open_.where("low <> high").select("token", "blocks"), "token")
     own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    rows = rows.select("token", "class_id", "label", "blocks", own.alias("own"))
+    rows = rows.select("token", "class_id", "label", "n_shingles", "blocks", own.alias("own"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.select("*", others.alias("other")).select(
         "token",
@@ -275,11 +298,11 @@ def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, best: bool
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
         "class_id",
         "label",
+        "n_shingles",
     )
-    rows = rows.join(classes.select("class_id", "signature"), "class_id")
+    rows = rows.join(classes.select("class_id", "signature"), "class_id").join(sets, "class_id")
     rows = rows.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j")
-    merging = partial(_merged_blocks, best=best)
-    return rows.mapInPandas(lambda frames: merging(frames), "a bigint, b bigint").distinct()
+    return rows.mapInPandas(_merging, "a bigint, b bigint").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -287,16 +310,11 @@ def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     posted = postings(classes)
     low = posted.groupBy("token").agg(F.min("class_id").alias("b"))
     star = posted.join(low, "token").where("class_id <> b").select(F.col("class_id").alias("a"), "b").distinct()
-    every = confirmed(written(_agreeing(star, classes), "near-pairs"), classes, docs)
-    labels = components(every)
-    # Best pairs first: they join what belongs together with few pairs. The last turn takes all.
-    for best in (*[True] * BEST_TURNS, False):
-        rest = written(_across(posted, labels, classes, best), "near-pairs")
-        if rest.isEmpty():
-            break
-        every = written(every.unionAll(confirmed(rest, classes, docs)), "near-links")
-        labels = components(every)
-    return every, labels
+    sets = sets_of(posted, classes, docs)
+    every = confirmed(_agreeing(star, classes), sets)
+    rest = written(_across(posted, components(every), classes, sets), "near-links")
+    every = written(every.unionAll(rest), "near-links")
+    return every, components(every)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
