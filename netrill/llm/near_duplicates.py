@@ -29,7 +29,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,7 +42,6 @@ COORDINATES, AGREE = 64, 30
 SIMILAR = 75
 #: Classes of a posting, and shingles of these, that are merged with one another in one group.
 BLOCK, BLOCK_SHINGLES = 1500, 4_000_000
-KEEP_HASHES = 300_000
 
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -56,41 +54,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SEEDS = _mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * _G2)
-_FACTORS, _OFFSETS = _SEEDS[:COORDINATES] | np.uint64(1), _SEEDS[COORDINATES:]
+_SEEDS = _mixed(np.arange(1, 2 * COORDINATES + WORDS + 2, dtype=np.uint64) * _G2)
+_FACTORS = _SEEDS[:COORDINATES].astype(np.uint32) | np.uint32(1)
+_OFFSETS = _SEEDS[COORDINATES : 2 * COORDINATES].astype(np.uint32)
+_PLACES, _STEP = _SEEDS[2 * COORDINATES : -1] | np.uint64(1), _SEEDS[-1] | np.uint64(1)
+_BYTES = _mixed(np.arange(256, dtype=np.uint64))
+_BYTES[65:91] = _BYTES[97:123]  # A-Z as a-z
+_BLANK = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+_BYTES[_BLANK] = 0
 
 
 class Shingler:
-    """Shingle sets as sorted 64-bit codes; codes of words are kept in a bounded table."""
+    """Shingle sets as sorted 64-bit codes, worked out for a whole text at a time."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.powers = np.ones(1, np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        import xxhash
-
-        words = (text or "").encode().lower().split()
-        if not words:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        solid = ~_BLANK[raw]
+        starts = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1
+        if len(raw) and solid[0]:
+            starts = np.concatenate([[0], starts])
+        if not len(starts):
             return np.zeros(0, np.uint64)
-        known = self.known
-        if len(known) > KEEP_HASHES:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        length = min(WORDS, len(words))
-        out = np.full(len(words) - length + 1, np.uint64(length))
+        # A word's code: its bytes' codes, weighted by their places in it; blanks add nothing.
+        widths = np.diff(starts, append=len(raw))
+        if widths.max() > len(self.powers):
+            self.powers = np.cumprod(np.full(2 * widths.max(), _STEP))
+        first = starts[0]
+        places = np.arange(first, len(raw)) - np.repeat(starts, widths)
+        codes = _mixed(np.add.reduceat(_BYTES[raw[first:]] * self.powers[places], starts - first))
+        length = min(WORDS, len(codes))
+        out = np.full(len(codes) - length + 1, np.uint64(length))
         for at in range(length):
-            out = _mixed(out * _G3 + codes[at : at + len(out)])
-        return np.unique(out)
+            out += codes[at : at + len(out)] * _PLACES[at]
+        return np.unique(_mixed(out))
 
 
 def signature(codes: np.ndarray) -> np.ndarray:
     """The minimum of each coordinate's hash, 32 bits wide."""
     out = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    for begin in range(0, len(codes), 4096):
-        hashed = codes[begin : begin + 4096, None] * _FACTORS + _OFFSETS
-        out = np.minimum(out, (hashed.min(axis=0) >> np.uint64(32)).astype(np.uint32))
+    high = (codes >> np.uint64(32)).astype(np.uint32)
+    for begin in range(0, len(high), 1024):
+        hashed = high[begin : begin + 1024, None] * _FACTORS
+        hashed += _OFFSETS
+        np.minimum(out, hashed.min(axis=0), out=out)
     return out
 
 
@@ -220,38 +229,39 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_confirming, "a bigint, b bigint"), "near-links")
 
 
-def joining(group: pd.DataFrame) -> list[tuple[int, int]]:
+def joining(rows: pa.Table) -> list[tuple[int, int]]:
     """Links between the two sides of a pair of blocks that join its components.
 
-    A block with itself has one side. Of links between components that are joined
-    already, by a label or by links before, none is given.
+    Rows come sorted by side; a block with itself has one side. Of links between
+    components that are joined already, by a label or by links before, none is given.
     """
-    sides = [part for _, part in group.groupby("side")]
-    same, first = len(sides) == 1, len(sides[0])
-    group = pd.concat(sides)
-    ids, labels, n = (group[name].to_numpy().copy() for name in ("class_id", "label", "n_shingles"))
-    signs = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, COORDINATES)
+    side, ids, labels, n = (rows.column(name).to_numpy() for name in ("side", "class_id", "label", "n_shingles"))
+    first = int((side == 0).sum())
+    same = first == len(side)
+    labels = labels.copy()
+    if (labels == labels[0]).all():
+        return []
+    signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
     ends = np.cumsum(n)
-    words, marked = None, None
+    words = None
     out = []
     for place in range(first):
         begin = place + 1 if same else first
         where = begin + np.flatnonzero(labels[begin:] != labels[place])
-        fits = 100 * np.minimum(n[where], n[place]) >= SIMILAR * np.maximum(n[where], n[place])
-        where = where[fits]
         where = where[(signs[where] == signs[place]).sum(axis=1) >= AGREE]
+        where = where[100 * np.minimum(n[where], n[place]) >= SIMILAR * np.maximum(n[where], n[place])]
         if not len(where):
             continue
         if words is None:
             # Shingles of this pair of blocks, numbered.
-            every, words = np.unique(np.frombuffer(b"".join(group["codes"]), np.uint64), return_inverse=True)
-            marked = np.zeros(len(every), bool)
+            codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint64)
+            every, words = np.unique(codes, return_inverse=True)
+            marked = np.zeros(len(every), np.int64)
         own = words[ends[place] - n[place] : ends[place]]
-        marked[own] = True
+        marked[own] = 1
         theirs = np.concatenate([words[ends[x] - n[x] : ends[x]] for x in where])
-        begins = np.cumsum(n[where]) - n[where]
-        both = np.add.reduceat(marked[theirs].astype(np.int64), begins)
-        marked[own] = False
+        both = np.add.reduceat(marked[theirs], np.cumsum(n[where]) - n[where])
+        marked[own] = 0
         for x in where[100 * both >= SIMILAR * (n[where] + n[place] - both)]:
             if labels[x] != labels[place]:
                 out.append((min(ids[x], ids[place]), max(ids[x], ids[place])))
@@ -259,23 +269,32 @@ def joining(group: pd.DataFrame) -> list[tuple[int, int]]:
     return out
 
 
-def _merging(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """`joining` of each pair of blocks, from rows sorted by it."""
 
-    def done(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        return pd.DataFrame(joining(pd.concat(parts)), columns=["a", "b"], dtype="int64")
+    def made(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        both = np.array(links, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
-    held: list[pd.DataFrame] = []
-    key = None
-    for frame in frames:
-        for now, group in frame.groupby(["token", "i", "j"], sort=False):
-            if now != key and held:
-                yield done(held)
-                held = []
-            key = now
-            held.append(group)
-    if held:
-        yield done(held)
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        now = now if held is None else pa.concat_tables([held, now])
+        change = np.zeros(now.num_rows - 1, bool)
+        for name in ("token", "i", "j"):
+            change |= np.diff(now.column(name).to_numpy()) != 0
+        ends = np.flatnonzero(change) + 1
+        links, begin = [], 0
+        for end in ends.tolist():
+            if end - begin > 1:
+                links += joining(now.slice(begin, end - begin))
+            begin = end
+        held = now.slice(begin)
+        yield made(links)
+    if held is not None:
+        yield made(joining(held))
 
 
 def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -301,8 +320,8 @@ def _across(posted: DataFrame, labels: DataFrame, classes: DataFrame, sets: Data
         "n_shingles",
     )
     rows = rows.join(classes.select("class_id", "signature"), "class_id").join(sets, "class_id")
-    rows = rows.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j")
-    return rows.mapInPandas(_merging, "a bigint, b bigint").distinct()
+    rows = rows.repartition(F.col("token"), F.col("i"), F.col("j")).sortWithinPartitions("token", "i", "j", "side")
+    return rows.mapInArrow(_merging, "a bigint, b bigint").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
