@@ -2,10 +2,14 @@
 
 Words and pairs of neighbours are counted over all training texts. A count is stored as
 its level, `1 + floor(log2 count)`: an entry for each level up to it goes into a Bloom
-filter, and a reader probes levels until one is missing. The filter has a fixed greatest
-size, is broadcast, and gives the probability of a token after another,
-`(c(v, w) + M * P(w)) / (c(v) + M)` with `P(w)` as in the base score, all counts read
-from the filter. Pairs and words seen once are not stored: they read as unseen.
+filter, and a reader probes levels until one is missing. The filter grows with its entries,
+so its false hits stay as rare in any corpus. It gives the probability of a token after
+another, `(c(v, w) + M * P(w)) / (c(v) + M)` with `P(w)` as in the base score, all counts
+read from the filter. Pairs and words seen once are not stored: they read as unseen.
+
+A filter up to a bound is broadcast. A larger one stays a table of segments: the different
+codes of a block of texts are shuffled to their segments, and the levels found come back to
+the block's texts.
 
 The base score needs exact counts of all words. The most frequent ones, a fixed number,
 are broadcast; rare words are joined by a shuffle, so that no hot key meets in a task.
@@ -40,13 +44,15 @@ FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 100_000
 #: Entries are stored for counts from here on.
 LEAST_COUNT = 2
-#: Bits for an entry, probes for a look, and the greatest size of the filter.
+#: Bits for an entry, probes for a look, and the greatest size of a filter that is broadcast.
 ENTRY_BITS, PROBES, MOST_BITS = 12, 4, 1 << 29
 #: Weight of the word's own probability against the pair's count.
 WEIGHT = 20.0
 #: Parts of the hash space: the counts of one part are merged in one task.
 PARTS = 256
 KEEP_WORDS, KEEP_HASHES = 300_000, 300_000
+#: Tokens after which a block of texts ends.
+BLOCK_TOKENS = 500_000
 MOST_LEVELS = 40
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -225,6 +231,11 @@ def _segments(bits: int):
     return run
 
 
+def middles(levels: np.ndarray) -> np.ndarray:
+    """The middle of a level's counts, 2^(l-1) to 2^l - 1; nothing stored reads as 0."""
+    return np.where(levels > 0, 1.5 * 2.0 ** (levels - 1) - 0.5, 0.0)
+
+
 class Filter:
     """Reads levels back and turns them into counts."""
 
@@ -232,10 +243,11 @@ class Filter:
         self.bits, self.data = bits, data
 
     def counts(self, codes: np.ndarray) -> np.ndarray:
-        part = codes >> np.uint64(56)
-        short = (codes >> np.uint64(24)).astype(np.uint32)
-        levels = np.zeros(len(codes), np.int64)
-        active = np.arange(len(codes))
+        return middles(self.levels(codes >> np.uint64(56), (codes >> np.uint64(24)).astype(np.uint32)))
+
+    def levels(self, part: np.ndarray, short: np.ndarray) -> np.ndarray:
+        levels = np.zeros(len(short), np.int64)
+        active = np.arange(len(short))
         for level in range(1, MOST_LEVELS):
             held = np.ones(len(active), np.bool_)
             for places in _places(part[active], short[active], level, self.bits):
@@ -245,14 +257,23 @@ class Filter:
             if not len(active):
                 break
             levels[active] = level
-        # The middle of a level's counts, 2^(l-1) to 2^l - 1; nothing stored reads as 0.
-        return np.where(levels > 0, 1.5 * 2.0 ** (levels - 1) - 0.5, 0.0)
+        return levels
+
+
+class Levels:
+    """Levels of a block's codes, as read from the segments; `codes` ascend."""
+
+    def __init__(self, codes: np.ndarray, levels: np.ndarray):
+        self.codes, self.levels = codes, levels
+
+    def counts(self, codes: np.ndarray) -> np.ndarray:
+        return middles(self.levels[np.searchsorted(self.codes, codes)].astype(np.int64))
 
 
 class Model:
-    """What scoring needs, of bounded size: the filter, frequent words' counts and three totals."""
+    """What scoring needs, of bounded size: the filter if small, frequent words' counts and totals."""
 
-    def __init__(self, filter_: Filter, head: dict[bytes, int], total: int, distinct: int):
+    def __init__(self, filter_: Filter | Levels | None, head: dict[bytes, int], total: int, distinct: int):
         self.filter, self.head, self.total, self.distinct = filter_, head, total, distinct
         self.floor = total + 0.5 * (distinct + 1)
 
@@ -269,8 +290,12 @@ class Model:
         return np.log10((both + WEIGHT * alone) / (before + WEIGHT))
 
 
-def learned(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of `docs` (text) and the written exact counts (word, n) of all its tokens."""
+def learned(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame | None, int]:
+    """The model of `docs` (text) and the written exact counts (word, n) of all its tokens.
+
+    A filter too large to be broadcast is given as a written table (part, bits) instead, with
+    the bits of a segment.
+    """
     spark = docs.sparkSession
     rows = written(docs.select("text").mapInArrow(_counter, COUNTS), "lm-partial")
     words = rows.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
@@ -283,14 +308,16 @@ def learned(docs: DataFrame) -> tuple[Model, DataFrame]:
         parts.mapInPandas(_merge, "part int, codes binary, levels binary, n bigint"), "lm-levels"
     )
     largest = merged.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    bits = min(MOST_BITS // PARTS, max(64, -(-int(largest) * ENTRY_BITS // 64) * 64))
-    data = np.zeros(PARTS * bits // 8, np.uint8)
+    bits = max(64, -(-int(largest) * ENTRY_BITS // 64) * 64)
     segments = merged.mapInPandas(_segments(bits), "part int, bits binary")
-    # PARTS rows of `bits` bits: at most MOST_BITS together, whatever the corpus.
+    counts = dict(zip(map(bytes, head["word"]), map(int, head["n"]), strict=True))
+    if bits * PARTS > MOST_BITS:
+        return Model(None, counts, int(total), int(distinct)), words, written(segments, "lm-segments"), bits
+    data = np.zeros(PARTS * bits // 8, np.uint8)
+    # PARTS rows of `bits` bits: at most MOST_BITS together.
     for part, segment in segments.toLocalIterator():
         data[part * bits // 8 : (part + 1) * bits // 8] = np.frombuffer(segment, np.uint8)
-    counts = dict(zip(map(bytes, head["word"]), map(int, head["n"]), strict=True))
-    return Model(Filter(bits, data), counts, int(total), int(distinct)), words
+    return Model(Filter(bits, data), counts, int(total), int(distinct)), words, None, bits
 
 
 SCORED = (
@@ -299,64 +326,209 @@ SCORED = (
 )
 
 
+def _scores(model: Model, codes_of: Codes, doc_ids: list, raw: list) -> Iterator[pa.RecordBatch]:
+    """Scored rows of some texts."""
+    head = model.head
+    unit = [math.log10((n + 0.5) / model.floor) for n in range(1000)] if model.floor else []
+    for begin in range(0, len(raw), 256):
+        texts = [tokens_of(t) for t in raw[begin : begin + 256]]
+        ids = doc_ids[begin : begin + 256]
+        sizes = [len(t) for t in texts]
+        codes = codes_of.of(list(chain.from_iterable(texts)))
+        logs = model.log10(codes, sizes)
+        ends = np.cumsum(sizes)
+        scores = np.add.reduceat(logs, np.r_[0, ends[:-1]])
+        known, base, rare, times = [], [], [], []
+        for tokens in texts:
+            frequent, sum_, own = 0, 0.0, {}
+            for token, n in Counter(tokens).items():
+                count = head.get(token)
+                if count is None:
+                    own[token] = n
+                else:
+                    frequent += n
+                    sum_ += n * (unit[count] if count < 1000 else math.log10((count + 0.5) / model.floor))
+            known.append(frequent)
+            base.append(sum_)
+            rare.append(list(own))
+            times.append(list(own.values()))
+        n = len(texts)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([uuid.uuid4().hex for _ in range(n)], pa.string()),
+                pa.array(ids, pa.int64()),
+                pa.array(map(held_out, ids), pa.bool_()),
+                pa.array(sizes, pa.int64()),
+                pa.array(known, pa.int64()),
+                pa.array([model.total] * n, pa.int64()),
+                pa.array(base, pa.float64()),
+                pa.array(scores, pa.float64()),
+                pa.array(rare, pa.list_(pa.binary())),
+                pa.array(times, pa.list_(pa.int64())),
+            ],
+            ["row_key", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "rare", "rare_times"],
+        )
+
+
 def _scorer(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes_of = Codes()
+        for batch in batches:
+            yield from _scores(
+                shared.value, codes_of, batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            )
+
+    return run
+
+
+#: Rows of a block: codes by part (then their levels, in the same order), or a text (`part` null).
+BLOCKS = "block bigint, part int, data binary, doc_id bigint, text string"
+_BLOCKS = pa.schema(
+    [("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("text", pa.string())]
+)
+
+
+def block_codes(texts: list[list[bytes]], codes_of: Codes) -> np.ndarray:
+    """The different codes that scoring some texts looks up, ascending."""
+    seen = [np.zeros(0, np.uint64)]
+    for begin in range(0, len(texts), 256):
+        some = texts[begin : begin + 256]
+        codes = codes_of.of(list(chain.from_iterable(some)))
+        seen += [np.unique(mixed(codes)), np.unique(pairs_of(codes, [len(t) for t in some]))]
+    return np.unique(np.concatenate(seen))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the number of their block, and each block's codes by part."""
+    codes_of = Codes()
+    texts: list[list[bytes]] = []
+    block, size = uuid.uuid4().int >> 65, 0
+
+    def ended() -> pa.RecordBatch:
+        codes = block_codes(texts, codes_of)
+        rows = [row[:2] for row in packed(codes, np.zeros(len(codes), np.uint8))]
+        n = len(rows)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block] * n, pa.int64()),
+                pa.array([row[0] for row in rows], pa.int32()),
+                pa.array([row[1] for row in rows], pa.binary()),
+                pa.nulls(n, pa.int64()),
+                pa.nulls(n, pa.string()),
+            ],
+            schema=_BLOCKS,
+        )
+
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 256):
+            part = batch.slice(begin, 256)
+            n = part.num_rows
+            texts += map(tokens_of, raw := part.column("text").to_pylist())
+            size += sum(map(len, texts[-n:]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * n, pa.int64()),
+                    pa.nulls(n, pa.int32()),
+                    pa.nulls(n, pa.binary()),
+                    part.column("doc_id").cast(pa.int64()),
+                    pa.array(raw, pa.string()),
+                ],
+                schema=_BLOCKS,
+            )
+            if size >= BLOCK_TOKENS:
+                yield ended()
+                texts, size, block = [], 0, uuid.uuid4().int >> 65
+    if texts:
+        yield ended()
+
+
+def _look_up(bits: int):
+    """Levels of the codes that follow their part's segment (`block` null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_, at = None, None
+        for batch in batches:
+            blocks, parts, found = batch.column("block").to_pylist(), batch.column("part").to_pylist(), []
+            for block, part, data in zip(blocks, parts, batch.column("data"), strict=True):
+                if block is None:
+                    filter_, at = Filter(bits, np.frombuffer(data.as_py(), np.uint8)), part
+                    found.append(None)
+                    continue
+                codes = np.frombuffer(data.as_py(), np.uint32)
+                # With no training texts a part has no segment.
+                levels = filter_.levels(np.zeros(len(codes), np.uint64), codes) if part == at else np.zeros(len(codes))
+                found.append(levels.astype(np.uint8).tobytes())
+            n = batch.num_rows
+            out = pa.RecordBatch.from_arrays(
+                [
+                    batch.column("block"),
+                    batch.column("part"),
+                    pa.array(found, pa.binary()),
+                    pa.nulls(n, pa.int64()),
+                    pa.nulls(n, pa.string()),
+                ],
+                schema=_BLOCKS,
+            )
+            yield out.filter(out.column("block").is_valid())
+
+    return run
+
+
+def _block_scorer(shared):
+    """Scored rows of whole blocks; levels come before texts and in the order of their parts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        codes_of, head = Codes(), model.head
-        unit = [math.log10((n + 0.5) / model.floor) for n in range(1000)] if model.floor else []
+        codes_of = Codes()
+        at, levels, ids, texts = None, [], [], []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            codes = block_codes([tokens_of(t) for t in texts], codes_of)
+            own = Levels(codes, np.frombuffer(b"".join(levels), np.uint8))
+            yield from _scores(Model(own, model.head, model.total, model.distinct), codes_of, ids, texts)
+
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                texts = [tokens_of(t) for t in part.column("text").to_pylist()]
-                sizes = [len(t) for t in texts]
-                codes = codes_of.of(list(chain.from_iterable(texts)))
-                logs = model.log10(codes, sizes)
-                ends = np.cumsum(sizes)
-                scores = np.add.reduceat(logs, np.r_[0, ends[:-1]])
-                known, base, rare, times = [], [], [], []
-                for tokens in texts:
-                    frequent, sum_, own = 0, 0.0, {}
-                    for token, n in Counter(tokens).items():
-                        count = head.get(token)
-                        if count is None:
-                            own[token] = n
-                        else:
-                            frequent += n
-                            sum_ += n * (
-                                unit[count] if count < 1000 else math.log10((count + 0.5) / model.floor)
-                            )
-                    known.append(frequent)
-                    base.append(sum_)
-                    rare.append(list(own))
-                    times.append(list(own.values()))
-                ids = part.column("doc_id").to_pylist()
-                n = part.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([uuid.uuid4().hex for _ in range(n)], pa.string()),
-                        part.column("doc_id"),
-                        pa.array(map(held_out, ids), pa.bool_()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(known, pa.int64()),
-                        pa.array([model.total] * n, pa.int64()),
-                        pa.array(base, pa.float64()),
-                        pa.array(scores, pa.float64()),
-                        pa.array(rare, pa.list_(pa.binary())),
-                        pa.array(times, pa.list_(pa.int64())),
-                    ],
-                    ["row_key", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "rare", "rare_times"],
-                )
+            columns = [batch.column(name).to_pylist() for name in ("block", "part", "data", "doc_id", "text")]
+            for block, part, data, doc_id, text in zip(*columns, strict=True):
+                if block != at:
+                    if at is not None:
+                        yield from ended()
+                    at, levels, ids, texts = block, [], [], []
+                if part is None:
+                    ids.append(doc_id)
+                    texts.append(text)
+                else:
+                    levels.append(data)
+        if at is not None:
+            yield from ended()
 
     return run
 
 
+def _block_scores(docs: DataFrame, shared, segments: DataFrame, bits: int) -> DataFrame:
+    """Scored rows of `docs` (doc_id, text) by levels read where the filter's segments are."""
+    rows = written(docs.mapInArrow(_blocks, BLOCKS), "lm-blocks")
+    nothing = F.lit(None).cast("bigint").alias("block")
+    codes = segments.select(nothing, "part", F.col("bits").alias("data")).unionByName(
+        rows.where("part is not null").select("block", "part", "data")
+    )
+    codes = codes.repartition(PARTS, "part").sortWithinPartitions("part", F.asc_nulls_first("block"))
+    levels = codes.mapInArrow(_look_up(bits), BLOCKS)
+    blocks = rows.where("part is null").unionByName(levels).repartition("block")
+    return blocks.sortWithinPartitions("block", F.asc_nulls_last("part")).mapInArrow(_block_scorer(shared), SCORED)
+
+
 def scored(docs: DataFrame, train: DataFrame) -> DataFrame:
     """Base and model scores of `docs` (doc_id, text), learnt from the rows of `train`."""
-    model, words = learned(train)
+    model, words, segments, bits = learned(train)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     floor = model.floor or 0.5
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = written(slim.mapInArrow(_scorer(shared), SCORED), "lm-scores")
+    if segments is None:
+        rows = slim.mapInArrow(_scorer(shared), SCORED)
+    else:
+        rows = _block_scores(slim, shared, segments, bits)
+    rows = written(rows, "lm-scores")
     rare = rows.select("row_key", F.explode(F.arrays_zip("rare", "rare_times")).alias("one"))
     rare = rare.select("row_key", F.col("one.rare").alias("word"), F.col("one.rare_times").alias("times"))
     count = F.coalesce(F.col("n"), F.lit(0))

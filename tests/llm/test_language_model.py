@@ -66,6 +66,26 @@ def test_base_score_and_model_match_brute_force(docs_of, monkeypatch):
     assert np.mean(near) > 0.9
 
 
+def test_scores_hold_beyond_the_broadcast_bound(docs_of, odd, nothing, monkeypatch):
+    """A filter larger than the bound keeps its 12 bits an entry, and levels are looked up in its segments."""
+    monkeypatch.setattr(lm, "MOST_BITS", 1 << 14)
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 700)
+    rows = corpus()
+    train = [row for row in rows if not lm.held_out(row[0])]
+    texts = dict(rows)
+    got = lm.scored(docs_of(rows), docs_of(train)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    base = sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
+    assert base == sorted(brute_base(rows, train))
+    assert np.mean([abs(r.score - brute_score(texts[r.doc_id], train)) < 1e-6 for r in got]) > 0.9
+    monkeypatch.setattr(lm, "MOST_BITS", 0)
+    assert {r.n_tokens for r in lm.scored(odd, odd).collect() if r.doc_id in (1, 2, 3)} == {1}
+    assert lm.scored(odd, odd).count() == 10
+    assert lm.scored(nothing, nothing).count() == 0
+    alone = lm.scored(docs_of([(1, "a b")]), nothing).first()
+    assert (alone.n_known, alone.train_tokens, alone.n_tokens) == (0, 0, 3)
+
+
 def test_odd_rows(odd, nothing, docs_of):
     got = lm.scored(odd, odd).collect()
     assert len(got) == 10
