@@ -5,7 +5,7 @@ its level, `1 + floor(log2 count)`: an entry for each level up to it goes into a
 filter, and a reader probes levels until one is missing. The filter grows with its entries,
 so its false hits stay as rare in any corpus. It gives the probability of a token after
 another, `(c(v, w) + M * P(w)) / (c(v) + M)` with `P(w)` as in the base score, all counts
-read from the filter. Pairs and words seen once are not stored: they read as unseen.
+read from the filter.
 
 A filter up to a bound is broadcast. A larger one stays a table of segments: the different
 codes of a block of texts are shuffled to their segments, and the levels found come back to
@@ -43,7 +43,7 @@ FOLDS, HELD_OUT = 5, 1
 #: Exact counts of so many words are broadcast (about 10 MB).
 HEAD_WORDS = 100_000
 #: Entries are stored for counts from here on.
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 #: Bits for an entry, probes for a look, and the greatest size of a filter that is broadcast.
 ENTRY_BITS, PROBES, MOST_BITS = 12, 4, 1 << 29
 #: Weight of the word's own probability against the pair's count.

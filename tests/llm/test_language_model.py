@@ -86,6 +86,12 @@ def test_scores_hold_beyond_the_broadcast_bound(docs_of, odd, nothing, monkeypat
     assert (alone.n_known, alone.train_tokens, alone.n_tokens) == (0, 0, 3)
 
 
+def test_pairs_seen_once_are_known(docs_of):
+    train = docs_of([(1, "alpha beta gamma delta")])
+    got = {r.doc_id: r.score for r in lm.scored(docs_of([(1, "alpha beta gamma delta"), (2, "alpha gamma beta delta")]), train).collect()}
+    assert got[1] > got[2] + 0.01
+
+
 def test_odd_rows(odd, nothing, docs_of):
     got = lm.scored(odd, odd).collect()
     assert len(got) == 10
