@@ -1,18 +1,20 @@
 """Personal data: base patterns, and terms that reveal the persons behind them.
 
 Base matches (e-mail, IPv4, card, phone) come from fixed patterns. The values matched
-are protected entities. Over the whole corpus it is counted in how many documents a word
-occurs, and in how many different texts it stands near an entity. A word discloses
+are protected entities. Over the whole corpus it is counted in how many different texts a
+word occurs, and in how many it stands near an entity. A word discloses
 `1 + log2 P(e|t) / I(e)` of an entity's information `I(e) = -log2 P(e)`; words at or above
-a threshold, seen near the entity in several different texts, are sensitive there too and
-are generalised. Base spans always stay.
+a threshold are sensitive near the entity too and are generalised. With few texts that hold
+both, P(e|t) is estimated with one further text of the word in which the entity is as likely
+as anywhere. Base spans always stay.
 
-Counting is partial in each task before it is shuffled. Nothing is collected and no
-group is held together: counts are sums by key.
+Counting is partial in each task before it is shuffled. No group is held together: counts
+are sums by key. Copies count once: words of texts that may occur again are not counted in
+the task but kept by text. Which ones may is told by a bitmap of bounded size.
 
 Edge cases: null and empty texts have no spans (SHA-256 of the empty string); a null
-doc_id stays null; repeated rows are handled one by one and count as one text when
-support is counted; overlapping base spans all stay; an empty table gives an empty
+doc_id stays null; repeated rows are handled one by one and count as one text in
+all statistics; overlapping base spans all stay; an empty table gives an empty
 result; further columns are kept by `sanitised` under their names and not read.
 """
 
@@ -24,19 +26,24 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netrill.llm.common import table, written
+from netrill.llm.common import table, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of a base match that are held against its value.
 REACH = 8
-#: Least share of an entity's information, and least number of different texts.
+#: Least share of an entity's information, and number of different texts from which P(e|t) is not smoothed.
 DISCLOSURE, SUPPORT = 0.9, 3
 #: Distinct words a task counts before it hands them on.
 KEEP_WORDS = 400_000
+#: Places of the bitmap of repeated texts; two texts in one place cost space only.
+PLACES = 1 << 24
+#: The code of a text beside its row's own columns.
+CODE = "_privacy_text_code"
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -125,21 +132,26 @@ _NEAR = pa.list_(
 )
 
 
-def _scan(kept: list[str]):
-    """Two kinds of rows: documents (`row_key` set) and partial counts of words (`term` set)."""
+def _scan(kept: list[str], shared):
+    """Three kinds of rows: documents (`row_key` set), partial counts of words (`term` set), and
+    the words of a text that may occur again (`words` set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        repeated = np.unpackbits(shared.value).astype(bool)
+        seen: set[int] = set()
         kept_schema: list[pa.Field] = []
 
+        def only(**columns: pa.Array) -> pa.RecordBatch:
+            size = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays(
+                [columns.get(field.name, pa.nulls(size, field.type)) for field in fields], schema=pa.schema(fields)
+            )
+
         def words() -> pa.RecordBatch:
-            out = pa.table({"term": list(counts), "n_docs": pa.array(counts.values(), pa.int64())})
-            columns = [pa.nulls(out.num_rows, field.type) for field in fields]
-            for place, field in enumerate(fields):
-                if field.name in ("term", "n_docs"):
-                    columns[place] = out[field.name].combine_chunks()
+            out = only(term=pa.array(list(counts), pa.string()), n_docs=pa.array(counts.values(), pa.int64()))
             counts.clear()
-            return pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+            return out
 
         fields: list[pa.Field] = []
         for batch in batches:
@@ -155,19 +167,25 @@ def _scan(kept: list[str]):
                     pa.field("near", _NEAR),
                     pa.field("term", pa.string()),
                     pa.field("n_docs", pa.int64()),
+                    pa.field("words", pa.list_(pa.string())),
                 ]
-            codes, numbers, bases, nears = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            codes = batch.column(CODE).to_pylist()
+            again = repeated[np.array(codes, np.int64) % PLACES]
+            numbers, bases, nears, copied = [], [], [], {}
+            for text, code, maybe in zip(batch.column("text").to_pylist(), codes, again, strict=True):
                 text = text or ""
                 spans = base_spans(text)
-                codes.append(
-                    int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
-                )
                 kinds = [kind for _, kind, _ in spans]
                 numbers.append([kinds.count(k) for k in range(len(KINDS))])
                 bases.append(spans_text(spans))
                 nears.append(_near(text, spans) if spans else [])
-                counts.update(set(_WORD.findall(text.lower())))
+                if not maybe:
+                    counts.update(set(_WORD.findall(text.lower())))
+                elif code not in seen:
+                    if len(seen) >= KEEP_WORDS:
+                        seen.clear()
+                    seen.add(code)
+                    copied[code] = list(set(_WORD.findall(text.lower())))
             size = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -180,9 +198,15 @@ def _scan(kept: list[str]):
                     pa.array(nears, _NEAR),
                     pa.nulls(size, pa.string()),
                     pa.nulls(size, pa.int64()),
+                    pa.nulls(size, pa.list_(pa.string())),
                 ],
                 schema=pa.schema(fields),
             )
+            if copied:
+                yield only(
+                    text_code=pa.array(copied, pa.int64()),
+                    words=pa.array(copied.values(), pa.list_(pa.string())),
+                )
             if len(counts) >= KEEP_WORDS:
                 yield words()
         if counts:
@@ -191,34 +215,57 @@ def _scan(kept: list[str]):
     return run
 
 
+def _repeated(codes: DataFrame) -> np.ndarray:
+    """Packed bitmap of the places of all texts that occur more than once."""
+    places = codes.groupBy(CODE).count().where("count > 1")
+    places = places.select(F.pmod(CODE, F.lit(PLACES)).cast("int").alias("place")).distinct()
+    bitmap = np.zeros(PLACES, np.bool_)
+    bitmap[places.toPandas()["place"].to_numpy(np.int64)] = True
+    return np.packbits(bitmap)
+
+
 def scanned(docs: DataFrame, kept: list[str]) -> DataFrame:
     """The written scan of `docs`: base spans, words near them, and counts of all words."""
     types = {field.name: field.dataType.simpleString() for field in docs.schema.fields}
     schema = "".join(f"`kept_{n}` {types[n]}, " for n in kept)
     schema += "row_key string, text_code bigint, " + ", ".join(f"n_{kind} bigint" for kind in KINDS)
     schema += ", base_sha256 string, base string, near array<struct<entity:string,term:string,start:bigint,end:bigint>>"
-    schema += ", term string, n_docs bigint"
+    schema += ", term string, n_docs bigint, words array<string>"
+    code = F.xxhash64(text_or_empty()).alias(CODE)
+    shared = docs.sparkSession.sparkContext.broadcast(_repeated(docs.select(code)))
     columns = dict.fromkeys([*kept, "text"])
-    return written(docs.select(*columns).mapInArrow(_scan(kept), schema), "privacy-scan")
+    return written(docs.select(*columns, code).mapInArrow(_scan(kept, shared), schema), "privacy-scan")
 
 
 def revealing(scan: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term, share): words that disclose at least `disclosure` of an entity's information."""
     rows = scan.where("row_key is not null")
-    total = rows.agg(F.count("*").alias("total"))
+    total = rows.select("text_code").distinct().agg(F.count("*").alias("total"))
     near = rows.where(F.size("near") > 0).select("text_code", F.explode("near").alias("one"))
     near = near.select("text_code", "one.entity", "one.term")
     pairs = near.groupBy("entity", "term", "text_code").agg(F.lit(1).alias("one"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= support)
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"))
     entities = near.select("entity", "text_code").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    known = pairs.join(entities, "entity").join(_texts_of_words(scan, pairs), "term").join(F.broadcast(total))
+    return known.select("entity", "term", _share(support).alias("share")).where(F.col("share") >= disclosure)
+
+
+def _texts_of_words(scan: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_term): in how many different texts a word of `wanted` occurs."""
     words = scan.where("term is not null").select("term", "n_docs")
-    words = words.join(pairs.select("term").distinct(), "term", "left_semi")
-    words = words.groupBy("term").agg(F.sum("n_docs").alias("n_term"))
-    known = pairs.join(entities, "entity").join(words, "term").join(F.broadcast(total))
-    given = F.least(F.lit(1.0), F.col("n_pair") / F.col("n_term"))
-    information = -F.log2(F.col("n_entity") / F.greatest("total", F.col("n_entity") + 1))
-    share = 1 + F.log2(given) / information
-    return known.select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)
+    copied = scan.where("words is not null").groupBy("text_code").agg(F.first("words").alias("words"))
+    words = words.unionByName(copied.select(F.explode("words").alias("term"), F.lit(1).cast("long").alias("n_docs")))
+    words = words.join(wanted.select("term").distinct(), "term", "left_semi")
+    return words.groupBy("term").agg(F.sum("n_docs").alias("n_term"))
+
+
+def _share(support: int):
+    """Share of an entity's information that a word discloses."""
+    prior = F.col("n_entity") / F.greatest("total", F.col("n_entity") + 1)
+    given = F.when(F.col("n_pair") >= support, F.col("n_pair") / F.col("n_term")).otherwise(
+        (F.col("n_pair") + prior) / (F.col("n_term") + 1)
+    )
+    return 1 + F.log2(F.least(F.lit(1.0), given)) / -F.log2(prior)
 
 
 def _term_spans(scan: DataFrame, terms: DataFrame) -> DataFrame:

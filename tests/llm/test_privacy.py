@@ -121,3 +121,17 @@ def test_statistics_match_brute_force(docs_of):
         assert got == brute_terms(texts) and got
     finally:
         privacy.DISCLOSURE = before
+
+
+def test_copies_and_rare_values_count(docs_of):
+    # Three texts with address and name, 100 copies each, among 700 others.
+    texts = [f"note {i} from Quillon q.q@example.org" for i in ("one", "two", "six")] * 100
+    texts += [f"filler text number {'abcdefghij'[i % 10]}{i}zz" for i in range(1200)]
+    # A value in one text only, with a word that stands nowhere else.
+    texts += ["filler text of Zimrad z@example.org"]
+    scan = privacy.scanned(docs_of(list(enumerate(texts))).repartition(5), ["doc_id"])
+    got = {(r["entity"], r["term"]): r["share"] for r in privacy.revealing(scan).collect()}
+    assert abs(got["email:q.q@example.org", "quillon"] - 1) < 1e-9
+    share = 1 + math.log2((1 + 1 / 1204) / 2) / math.log2(1204)
+    assert abs(got["email:z@example.org", "zimrad"] - share) < 1e-9
+    assert ("email:z@example.org", "filler") not in got
