@@ -2,9 +2,9 @@
 
 Base matches (e-mail, IPv4, card, phone) come from fixed patterns. The values matched
 are protected entities. Over the whole corpus it is counted in how many different texts a
-word occurs, and in how many it stands near an entity. A word discloses
+word occurs, and in how many together with an entity, wherever in the text. A word discloses
 `1 + log2 P(e|t) / I(e)` of an entity's information `I(e) = -log2 P(e)`; words at or above
-a threshold are sensitive near the entity too and are generalised. With few texts that hold
+a threshold are sensitive too and are generalised throughout the entity's texts. With few texts that hold
 both, P(e|t) is estimated with one further text of the word in which the entity is as likely
 as anywhere. Base spans always stay.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from netrill.llm.common import table, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of a base match that are held against its value.
-REACH = 8
+#: Words on either side of a base match that are held against its value: all of the text.
+REACH = sys.maxsize
 #: Least share of an entity's information, and number of different texts from which P(e|t) is not smoothed.
 DISCLOSURE, SUPPORT = 0.9, 3
 #: Distinct words a task counts before it hands them on.
@@ -53,7 +54,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\W_]{3,}")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -107,29 +108,25 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def _near(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Words near each base match: entity, term, start, end; words inside a match are left out."""
-    out = []
-    for start, kind, end in spans:
-        entity = f"{KINDS[kind]}:{re.sub(r'[^a-z0-9@.]', '', text[start:end].lower())}"
-        # Far enough for the words wanted unless they are very long; then more is taken.
-        width = 24 * REACH
-        while True:
-            low, high = max(0, start - width), min(len(text), end + width)
-            before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0]
-            after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)]
-            if (low == 0 or len(before) >= REACH) and (high == len(text) or len(after) >= REACH):
-                break
-            width *= 4
-        for m in [*before[-REACH:], *after[:REACH]]:
-            if not any(m.start() < other_end and other < m.end() for other, _, other_end in spans):
-                out.append({"entity": entity, "term": m[0].lower(), "start": m.start(), "end": m.end()})
+def _entity(text: str, span: tuple[int, int, int]) -> str:
+    start, kind, end = span
+    return f"{KINDS[kind]}:{re.sub(r'[^a-z0-9@.]', '', text[start:end].lower())}"
+
+
+def _outside(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+    """All words of a text but those that touch a match: term, start, end."""
+    out, at, covered = [], 0, 0
+    for m in _WORD.finditer(text):
+        # Matches are ordered by start: what begins before the word's end may cover it.
+        while at < len(spans) and spans[at][0] < m.end():
+            covered = max(covered, spans[at][2])
+            at += 1
+        if covered <= m.start():
+            out.append({"term": m[0].lower(), "start": m.start(), "end": m.end()})
     return out
 
 
-_NEAR = pa.list_(
-    pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-)
+_OUTSIDE = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _scan(kept: list[str], shared):
@@ -164,21 +161,23 @@ def _scan(kept: list[str], shared):
                     *[pa.field(f"n_{kind}", pa.int64()) for kind in KINDS],
                     pa.field("base_sha256", pa.string()),
                     pa.field("base", pa.string()),
-                    pa.field("near", _NEAR),
+                    pa.field("entities", pa.list_(pa.string())),
+                    pa.field("outside", _OUTSIDE),
                     pa.field("term", pa.string()),
                     pa.field("n_docs", pa.int64()),
                     pa.field("words", pa.list_(pa.string())),
                 ]
             codes = batch.column(CODE).to_pylist()
             again = repeated[np.array(codes, np.int64) % PLACES]
-            numbers, bases, nears, copied = [], [], [], {}
+            numbers, bases, entities, outsides, copied = [], [], [], [], {}
             for text, code, maybe in zip(batch.column("text").to_pylist(), codes, again, strict=True):
                 text = text or ""
                 spans = base_spans(text)
                 kinds = [kind for _, kind, _ in spans]
                 numbers.append([kinds.count(k) for k in range(len(KINDS))])
                 bases.append(spans_text(spans))
-                nears.append(_near(text, spans) if spans else [])
+                entities.append(list({_entity(text, span) for span in spans}))
+                outsides.append(_outside(text, spans) if spans else [])
                 if not maybe:
                     counts.update(set(_WORD.findall(text.lower())))
                 elif code not in seen:
@@ -195,7 +194,8 @@ def _scan(kept: list[str], shared):
                     *[pa.array([row[k] for row in numbers], pa.int64()) for k in range(len(KINDS))],
                     pa.array([hashlib.sha256(base.encode()).hexdigest() for base in bases], pa.string()),
                     pa.array(bases, pa.string()),
-                    pa.array(nears, _NEAR),
+                    pa.array(entities, pa.list_(pa.string())),
+                    pa.array(outsides, _OUTSIDE),
                     pa.nulls(size, pa.string()),
                     pa.nulls(size, pa.int64()),
                     pa.nulls(size, pa.list_(pa.string())),
@@ -225,11 +225,11 @@ def _repeated(codes: DataFrame) -> np.ndarray:
 
 
 def scanned(docs: DataFrame, kept: list[str]) -> DataFrame:
-    """The written scan of `docs`: base spans, words near them, and counts of all words."""
+    """The written scan of `docs`: base spans, entities with the words of their texts, and counts of all words."""
     types = {field.name: field.dataType.simpleString() for field in docs.schema.fields}
     schema = "".join(f"`kept_{n}` {types[n]}, " for n in kept)
     schema += "row_key string, text_code bigint, " + ", ".join(f"n_{kind} bigint" for kind in KINDS)
-    schema += ", base_sha256 string, base string, near array<struct<entity:string,term:string,start:bigint,end:bigint>>"
+    schema += ", base_sha256 string, base string, entities array<string>, outside array<struct<term:string,start:bigint,end:bigint>>"
     schema += ", term string, n_docs bigint, words array<string>"
     code = F.xxhash64(text_or_empty()).alias(CODE)
     shared = docs.sparkSession.sparkContext.broadcast(_repeated(docs.select(code)))
@@ -241,11 +241,13 @@ def revealing(scan: DataFrame, disclosure: float = DISCLOSURE, support: int = SU
     """(entity, term, share): words that disclose at least `disclosure` of an entity's information."""
     rows = scan.where("row_key is not null")
     total = rows.select("text_code").distinct().agg(F.count("*").alias("total"))
-    near = rows.where(F.size("near") > 0).select("text_code", F.explode("near").alias("one"))
-    near = near.select("text_code", "one.entity", "one.term")
-    pairs = near.groupBy("entity", "term", "text_code").agg(F.lit(1).alias("one"))
+    texts = rows.where(F.size("entities") > 0).groupBy("text_code").agg(
+        F.first("entities").alias("entities"), F.array_distinct(F.first("outside.term")).alias("terms")
+    )
+    own = texts.select(F.explode("entities").alias("entity"), "terms")
+    pairs = own.select("entity", F.explode("terms").alias("term"))
     pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"))
-    entities = near.select("entity", "text_code").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = own.groupBy("entity").agg(F.count("*").alias("n_entity"))
     known = pairs.join(entities, "entity").join(_texts_of_words(scan, pairs), "term").join(F.broadcast(total))
     return known.select("entity", "term", _share(support).alias("share")).where(F.col("share") >= disclosure)
 
@@ -270,9 +272,11 @@ def _share(support: int):
 
 def _term_spans(scan: DataFrame, terms: DataFrame) -> DataFrame:
     """row_key and its sensitive words' spans, as sorted text parts."""
-    near = scan.where("row_key is not null").where(F.size("near") > 0)
-    near = near.select("row_key", F.explode("near").alias("one")).select("row_key", "one.*")
-    hits = near.join(terms.select("entity", "term"), ["entity", "term"], "left_semi")
+    rows = scan.where("row_key is not null").where(F.size("entities") > 0)
+    hits = rows.select("row_key", "entities", F.explode("outside").alias("one"))
+    hits = hits.select("row_key", "entities", "one.*").join(terms.select("term").distinct(), "term", "left_semi")
+    hits = hits.select("row_key", "term", "start", "end", F.explode("entities").alias("entity"))
+    hits = hits.join(terms.select("entity", "term"), ["entity", "term"], "left_semi")
     return hits.groupBy("row_key").agg(
         F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("terms")
     )
@@ -310,9 +314,9 @@ def found(docs: DataFrame, kept: list[str]) -> DataFrame:
     rows = scan.where("row_key is not null")
     names = [F.col(f"kept_{n}").alias(n) for n in kept]
     figures = [*[f"n_{kind}" for kind in KINDS], "base_sha256"]
-    # Rows without neighbours of matches, nearly all, don't take part in the join.
-    plain = rows.where(F.size("near") == 0).select(*names, *figures, F.col("base").alias("spans"))
-    others = rows.where(F.size("near") > 0).join(terms, "row_key", "left")
+    # Rows without matches, nearly all, don't take part in the join.
+    plain = rows.where(F.size("entities") == 0).select(*names, *figures, F.col("base").alias("spans"))
+    others = rows.where(F.size("entities") > 0).join(terms, "row_key", "left")
     return plain.unionByName(others.select(*names, *figures, _all_spans("base", "terms").alias("spans")))
 
 

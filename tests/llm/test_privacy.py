@@ -135,3 +135,14 @@ def test_copies_and_rare_values_count(docs_of):
     share = 1 + math.log2((1 + 1 / 1204) / 2) / math.log2(1204)
     assert abs(got["email:z@example.org", "zimrad"] - share) < 1e-9
     assert ("email:z@example.org", "filler") not in got
+
+
+def test_terms_are_removed_in_the_whole_text(docs_of):
+    # A greeting far from the address in the signature, an account code, and the name once more.
+    gap = "the words between them " * 10
+    texts = [f"Quillon7 writes {gap}{i} q.q@example.org {gap}Quillon7 again" for i in ("one", "two", "six", "ten")]
+    texts += [f"{gap}writes again {i}" for i in range(60)]
+    got = {r["doc_id"]: r["text"] for r in privacy.sanitised(docs_of(list(enumerate(texts)))).collect()}
+    for i, word in enumerate(("one", "two", "six", "ten")):
+        assert got[i] == f"<TERM> writes {gap}{word} <EMAIL> {gap}<TERM> again"
+    assert got[10] == texts[10]
