@@ -43,3 +43,9 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 def by_column(frame: DataFrame, **columns: Column) -> DataFrame:
     """Select new columns; `columns` are built from the frame's own, so clashing names can't matter."""
     return frame.select(*[value.alias(name) for name, value in columns.items()])
+
+
+def discarded(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows that this run has written and nothing reads again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

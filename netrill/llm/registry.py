@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 from netrill.llm import (
+    collocations,
     decontamination,
     language_model,
+    lexical_search,
     licenses,
+    main_text,
     near_duplicates,
     pieces,
     privacy,
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_language_model": language_model.query,
     "op9_quality_rules": quality.query,
     "op10_sentencepiece": pieces.query,
+    "op11_main_text": main_text.query,
+    "op12_lexical_search": lexical_search.query,
+    "op13_collocations": collocations.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -36,6 +42,8 @@ STATEMENTS = {
     "op4_warc_bundles": warc.SQL,
     "op5_near_duplicates": near_duplicates.SQL,
     "op9_quality_rules": quality.SQL,
+    "op12_lexical_search": lexical_search.SQL,
+    "op13_collocations": collocations.SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     STATEMENTS["pipeline"] = corpus_pipeline.ORACLE_SQL
