@@ -38,11 +38,13 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Shards of the cycle, so steps that a phrase is counted for.
-SHARDS = 4
+SHARDS = 2
 #: Bounds of the broadcast table of first steps, one byte a slot.
 LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 26
 #: Texts are encoded in slices of about this many bytes.
 SLICE = 4 << 20
+#: Words that are counted at a time.
+TOGETHER = 1 << 20
 #: Words a task remembers having handed to the dictionary.
 REMEMBERED = 1 << 19
 
@@ -148,11 +150,17 @@ def _counting(stamps, step: int, shards: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = stamps.value
         mask = np.uint64(len(held) - 1)
+        waiting: list[np.ndarray] = []
         for batch in batches:
             lists = batch.column("codes")
             for row in range(batch.num_rows):
-                codes = lists[row].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                yield from _counted(codes, held, mask, step, shards, longest)
+                # Every text ends in a 0, so no phrase goes from one list into the next.
+                waiting.append(lists[row].values.to_numpy(zero_copy_only=False).view(np.uint64))
+                if sum(map(len, waiting)) >= TOGETHER:
+                    yield from _counted(np.concatenate(waiting), held, mask, step, shards, longest)
+                    waiting = []
+        if waiting:
+            yield from _counted(np.concatenate(waiting), held, mask, step, shards, longest)
 
     return run
 
@@ -203,7 +211,7 @@ def _mark(stamps: np.ndarray, reached: DataFrame, step: int) -> bool:
     )
     some = False
     # At most MOST_SLOTS / 8 bytes, whatever the corpus.
-    for row in bits.toLocalIterator():
+    for row in bits.collect():
         at = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little"))
         at += (row["bucket"] - 1) * 32768
         stamps[at] = np.minimum(stamps[at], step)
@@ -272,12 +280,11 @@ def dictionary(encoded: DataFrame, found: DataFrame) -> DataFrame:
     """(key, lang, word) of the words of `found`; fails if two words share a code."""
     entries = encoded.where((F.col("shard") == -1) & F.col("word").isNotNull())
     used = found.where(F.octet_length("key") == 8).select("key")
-    entries = entries.select("key", "lang", "word").join(used, "key", "left_semi")
-    both = F.struct("lang", "word")
-    words = entries.groupBy("key").agg(F.min(both).alias("low"), F.max(both).alias("high"))
+    # Different rows first: every task hands out its own.
+    words = entries.select("key", "lang", "word").distinct().join(used, "key", "left_semi")
+    words = words.groupBy("key").agg(F.first("lang").alias("lang"), F.first("word").alias("word"), F.count("*").alias("n"))
     clash = F.raise_error("two words share a code: choose another seed")
-    checked = F.when(F.col("low") == F.col("high"), F.col("low.word")).otherwise(clash)
-    return words.select("key", F.col("low.lang").alias("lang"), checked.alias("word"))
+    return words.select("key", "lang", F.when(F.col("n") == 1, F.col("word")).otherwise(clash).alias("word"))
 
 
 def mine(
