@@ -45,16 +45,17 @@ LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 26
 SLICE = 4 << 20
 #: Words that are counted at a time.
 TOGETHER = 1 << 20
-#: Words a task remembers having handed to the dictionary.
-REMEMBERED = 1 << 19
 
 NEVER = 255
 _BREAKS = r"[.,;:!?\x0A-\x0D]"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
-ENCODED = "shard int, codes array<bigint>, lang string, word string, key binary, n bigint"
-COUNTED = "key binary, act int, slot bigint, cnt bigint"
-STATE = "key binary, act int, slot bigint, cnt bigint, reached int, done boolean"
+ENCODED = "shard int, codes array<bigint>, langs array<string>, words array<string>, n bigint"
+#: `info` packs, from the top, the step after that of reaching the threshold (0: not yet), the
+#: step of starting to count, and the slot.
+COUNTED = "key binary, cnt bigint, info bigint"
+STATE = COUNTED + ", done boolean"
+REACHED, ACT = 1 << 48, 1 << 32
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -89,7 +90,6 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _encoding(shards: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
         dealt = 0
         for batch in batches:
             for part in _slices(batch):
@@ -114,36 +114,69 @@ def _encoding(shards: int, seed: int):
                         rows["shard"].append(number)
                         rows["codes"].append(held)
                 yield _rows(rows, len(rows["shard"]))
-                # Words that this task has not handed out yet, and the words of each language.
-                found, first = np.unique(codes, return_index=True)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                fresh = [i for code, i in zip(found.tolist(), first.tolist(), strict=True) if code and code not in known]
-                known.update(codes[fresh].tolist())
-                totals = np.bincount(spoken[real], minlength=len(names))
+                # The slice's different words with their languages; and each language's total.
+                pairs = _distinct(spoken[real], which[real], len(names), len(words))
+                of, place = pairs // len(words), pairs % len(words)
+                held = mixed(by_word[place] ^ mixed(by_lang)[of])
+                held[held == 0] = 1
+                totals = np.bincount(spoken[real], minlength=len(names)).tolist()
+                blank = [[]] * len(names)
                 yield _rows(
                     {
-                        "lang": [names[spoken[i]] for i in fresh] + names,
-                        "word": [words[which[i]] for i in fresh] + [None] * len(names),
-                        "key": [codes[i : i + 1].tobytes() for i in fresh] + [None] * len(names),
-                        "n": [None] * len(fresh) + totals.tolist(),
+                        "codes": [held.view(np.int64), *blank],
+                        "langs": [langs.dictionary.take(pa.array(of)), *[[x] for x in names]],
+                        "words": [tokens.dictionary.take(pa.array(place)).cast(pa.string()), *blank],
+                        "n": [None, *totals],
                     },
-                    len(fresh) + len(names),
+                    1 + len(names),
                 )
 
     return run
 
 
+def _distinct(high: np.ndarray, low: np.ndarray, highs: int, lows: int) -> np.ndarray:
+    """The different values of high * lows + low."""
+    both = high.astype(np.int64) * lows + low
+    if highs * lows > 8 * len(both) + 1000:
+        return np.unique(both)
+    seen = np.zeros(highs * lows, bool)
+    seen[both] = True
+    return np.flatnonzero(seen)
+
+
 def _rows(columns: dict[str, list], size: int) -> pa.RecordBatch:
-    kinds = {
-        "shard": pa.int32(), "codes": pa.list_(pa.int64()), "lang": pa.string(),
-        "word": pa.string(), "key": pa.binary(), "n": pa.int64(),
-    }
+    texts = pa.list_(pa.string())
+    kinds = {"shard": pa.int32(), "codes": pa.list_(pa.int64()), "langs": texts, "words": texts, "n": pa.int64()}
     absent = {"shard": -1}
     made = [pa.array(columns.get(name, [absent.get(name)] * size), kind) for name, kind in kinds.items()]
     return pa.RecordBatch.from_arrays(made, list(kinds))
 
 
+def _naming(stamps):
+    """(key, lang, word) of the dictionaries' words that have reached the threshold, or share a slot with one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = stamps.value
+        mask = np.uint64(len(held) - 1)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                codes, langs, words = (batch.column(name)[row].values for name in ("codes", "langs", "words"))
+                codes = codes.to_numpy(zero_copy_only=False)
+                at = np.flatnonzero(held[codes.view(np.uint64) & mask] != NEVER)
+                keys = _packed(np.ascontiguousarray(codes[at]), 1)
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays([keys, langs.take(at), words.take(at)], ["key", "lang", "word"])
+
+    return run
+
+
+def _packed(codes: np.ndarray, size: int) -> pa.Array:
+    """Rows of `size` codes as binary values."""
+    rows = len(codes)
+    offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * (8 * size))
+    return pa.Array.from_buffers(pa.binary(), rows, [None, offsets.buffers()[1], pa.py_buffer(codes.tobytes())])
+
+
 def _counting(stamps, step: int, shards: int, longest: int):
     """Count what is active in a step; `stamps` is the broadcast table of first steps."""
 
@@ -166,35 +199,37 @@ def _counting(stamps, step: int, shards: int, longest: int):
 
 
 def _counted(codes, held, mask, step, shards, longest) -> Iterator[pa.RecordBatch]:
-    whole = codes != 0
-    digests = codes
     if step < shards:
-        yield _totals(codes, digests, np.flatnonzero(whole), np.zeros(0, np.uint8), 1, mask)
+        at = np.flatnonzero(codes)
+        yield _totals(codes, codes[at], at, np.zeros(len(at), np.int64), 1, mask)
+    # First steps of the phrases from each place on; only places of a phrase that has one are gone on with.
+    seen = np.where(codes != 0, held[codes & mask], NEVER)
+    at, digests = np.flatnonzero(seen[:-1] != NEVER), codes
+    digests = digests[at]
     for size in range(2, longest + 1):
-        if len(digests) < 2:
-            return
-        seen = np.where(whole, held[digests & mask], NEVER)
-        latest = np.maximum(seen[:-1], seen[1:])
-        whole = latest != NEVER
-        digests = mixed(digests[:-1] * _MIX[0] + codes[size - 1 :])
-        active = np.flatnonzero(whole & (latest.astype(np.int16) + 1 > step - shards))
-        if len(active):
-            yield _totals(codes, digests, active, latest, size, mask)
-
-
-def _totals(codes, digests, active, latest, size, mask) -> pa.RecordBatch:
-    found, first, counts = np.unique(digests[active], return_index=True, return_counts=True)
-    places = active[first]
+        latest = np.maximum(seen[at], seen[at + 1])
+        both = latest != NEVER
+        at, digests, latest = at[both], digests[both], latest[both]
+        digests = mixed(digests * _MIX[0] + codes[at + (size - 1)])
+        act = latest.astype(np.int64) + 1
+        active = act > step - shards
+        if active.any():
+            yield _totals(codes, digests[active], at[active], act[active], size, mask)
+        if size < longest:
+            found = held[digests & mask]
+            seen.fill(NEVER)
+            seen[at] = found
+            there = found != NEVER
+            at, digests = at[there], digests[there]
+
+
+def _totals(codes, digests, places, act, size, mask) -> pa.RecordBatch:
+    found, first, counts = np.unique(digests, return_index=True, return_counts=True)
+    places = places[first]
     keys = np.ascontiguousarray(codes[places[:, None] + np.arange(size)])
-    act = latest[places].astype(np.int32) + 1 if size > 1 else np.zeros(len(places), np.int32)
-    width = 8 * size
-    offsets = pa.array(np.arange(len(places) + 1, dtype=np.int32) * width)
-    packed = pa.Array.from_buffers(
-        pa.binary(), len(places), [None, offsets.buffers()[1], pa.py_buffer(keys.tobytes())]
-    )
+    info = act[first] * ACT + (found & mask).astype(np.int64)
     return pa.RecordBatch.from_arrays(
-        [packed, pa.array(act), pa.array((found & mask).view(np.int64)), pa.array(counts.astype(np.int64))],
-        ["key", "act", "slot", "cnt"],
+        [_packed(keys, size), pa.array(counts.astype(np.int64)), pa.array(info)], ["key", "cnt", "info"]
     )
 
 
@@ -205,7 +240,7 @@ def slots_for(words: int) -> int:
 
 def _mark(stamps: np.ndarray, reached: DataFrame, step: int) -> bool:
     """Note the step in the slots of phrases that have reached the threshold in it."""
-    slot = F.col("slot") + 1
+    slot = F.col("info").bitwiseAND(ACT - 1) + 1
     bits = reached.groupBy(F.call_function("bitmap_bucket_number", slot).alias("bucket")).agg(
         F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", slot)).alias("bits")
     )
@@ -233,55 +268,55 @@ def encode(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
 
 def frequent(
     encoded: DataFrame, words: int, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS
-) -> DataFrame:
-    """(key, cnt) of all phrases of 1 to `longest` words that occur `least` times; key: 8 bytes a word."""
+) -> tuple[DataFrame, np.ndarray]:
+    """(key, cnt) of all phrases of 1 to `longest` words that occur `least` times, and the first steps.
+
+    A key has 8 bytes a word.
+    """
     spark = encoded.sparkSession
     stamps = np.full(slots_for(words), NEVER, np.uint8)
     folder = shared_folder(spark, "collocations-counts")
+    act = F.call_function("div", F.col("info") % REACHED, F.lit(ACT))
     step, last = 0, 0
     while step < last + shards:
         # From any step on the cycle comes to every shard once in `shards` steps.
         shared = spark.sparkContext.broadcast(stamps)
         scanned = encoded.where(F.col("shard") == step % shards).select("codes")
         rows = scanned.mapInArrow(_counting(shared, step, shards, longest), COUNTED)
-        rows = rows.withColumn("reached", F.lit(None).cast("int"))
         if step:
             before = spark.read.schema(STATE).parquet(f"{folder}/step={step - 1}").where(~F.col("done"))
             rows = rows.unionByName(before.drop("done"))
-        total = rows.groupBy("key").agg(
-            F.min("act").alias("act"),
-            F.min("slot").alias("slot"),
-            F.sum("cnt").alias("cnt"),
-            F.min("reached").alias("reached"),
-        )
-        now = F.when(F.col("cnt") >= least, F.lit(step))
-        total = total.withColumn("reached", F.coalesce("reached", now))
-        total = total.withColumn("done", F.col("act") + (shards - 1) == step)
+        total = rows.groupBy("key").agg(F.sum("cnt").alias("cnt"), F.max("info").alias("info"))
+        new = (F.col("cnt") >= least) & (F.col("info") < REACHED)
+        total = total.withColumn("info", F.col("info") + F.when(new, F.lit((step + 1) * REACHED)).otherwise(0))
+        total = total.withColumn("done", act + (shards - 1) == step)
         total = total.where(~F.col("done") | (F.col("cnt") >= least))
         path = f"{folder}/step={step}"
         total.write.option("compression", "zstd").partitionBy("done").parquet(path)
         state = spark.read.schema(STATE).parquet(path)
         longer = F.octet_length("key") < 8 * longest
-        if _mark(stamps, state.where((F.col("reached") == step) & longer), step):
+        if _mark(stamps, state.where((F.col("info") >= (step + 1) * REACHED) & longer), step):
             last = step + 1
         shared.unpersist()
         if step:
             discarded(spark, f"{folder}/step={step - 1}/done=false")
         step += 1
     whole = spark.read.schema("step int, " + STATE).parquet(folder)
-    return whole.where("done").select("key", "cnt")
+    return whole.where("done").select("key", "cnt"), stamps
 
 
 def _subphrase(first: int | F.Column, size: F.Column) -> F.Column:
     return F.substring(F.col("key"), 8 * first + 1 if isinstance(first, int) else first * 8 + 1, size * 8)
 
 
-def dictionary(encoded: DataFrame, found: DataFrame) -> DataFrame:
+def dictionary(encoded: DataFrame, found: DataFrame, stamps: np.ndarray) -> DataFrame:
     """(key, lang, word) of the words of `found`; fails if two words share a code."""
-    entries = encoded.where((F.col("shard") == -1) & F.col("word").isNotNull())
+    shared = encoded.sparkSession.sparkContext.broadcast(stamps)
+    entries = encoded.where((F.col("shard") == -1) & F.col("n").isNull()).select("codes", "langs", "words")
+    entries = entries.mapInArrow(_naming(shared), "key binary, lang string, word string")
     used = found.where(F.octet_length("key") == 8).select("key")
-    # Different rows first: every task hands out its own.
-    words = entries.select("key", "lang", "word").distinct().join(used, "key", "left_semi")
+    # Different rows first: every slice has its own.
+    words = entries.distinct().join(used, "key", "left_semi")
     words = words.groupBy("key").agg(F.first("lang").alias("lang"), F.first("word").alias("word"), F.count("*").alias("n"))
     clash = F.raise_error("two words share a code: choose another seed")
     return words.select("key", "lang", F.when(F.col("n") == 1, F.col("word")).otherwise(clash).alias("word"))
@@ -298,10 +333,11 @@ def mine(
     """lang, rank, phrase, a, l, r, n and score of each language's first `top` phrases."""
     encoded = encode(docs, shards, seed)
     totals = encoded.where((F.col("shard") == -1) & F.col("n").isNotNull())
-    totals = totals.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = totals.groupBy(F.get("langs", 0).alias("lang")).agg(F.sum("n").alias("n"))
     words = totals.agg(F.sum("n")).first()[0] or 0
-    found = written(frequent(encoded, words, least, longest, shards), "collocations-frequent")
-    spoken = written(dictionary(encoded, found), "collocations-words")
+    found, stamps = frequent(encoded, words, least, longest, shards)
+    found = written(found, "collocations-frequent")
+    spoken = written(dictionary(encoded, found, stamps), "collocations-words")
     size = F.call_function("div", F.octet_length("key"), F.lit(8))
     phrases = found.withColumn("size", size).where("size > 1")
 
