@@ -16,14 +16,14 @@ from netrill.catalog.records import WIRE_COLUMNS
 from netrill.catalog.registry import Query
 from netrill.catalog.registry import register as register_query
 from netrill.config import FlowOptions
-from netrill.operators import aggregate, reports, windowing
+from netrill.operators import aggregate, reducers, reports, windowing
 from netrill.plans import groupings as G
 from netrill.plans.sums import shape_sums
 from netrill.plans.summaries import summaries_of_rows
 from netrill.schema import SUMMARY_COLUMNS
 from netrill.session import shared_folder
 from netrill.sources import kafka, protobuf, tables
-from netrill.streaming import panes, replay, series, windows
+from netrill.streaming import panes, replay, series, timed, windows
 
 
 
@@ -320,3 +320,102 @@ def series_state_gc(spark, sf_dir):
     return _tos_totals(_until_quiet(held, folder, 5000))
 
 
+
+
+# Parts of the flows with their time of arrival, on the clock that delays go by.
+ARRIVALS = {0: PARTS[0], 100: "protocol = 17 and last_switched % 3 = 0",
+            130: "protocol = 17 and last_switched % 3 = 1", 200: "protocol = 17 and last_switched % 3 = 2"}
+DAY = 24 * 60 * 60_000
+INTERFACE_KEYS = ["window_end", *aggregate.BASE_COLUMNS[1:]]
+
+
+def _arriving(spark: SparkSession, sf_dir: str, folder: str, options: FlowOptions, start) -> None:
+    """Let the parts arrive, each continued by a restarted query, then drain."""
+    given = tables.flows(spark, sf_dir)
+
+    def begin(stream: DataFrame):
+        joined = windows.with_closing(stream, folder)
+        return start(timed.timed_rows(joined, options))
+
+    for at, part in ARRIVALS.items():
+        stamped = given.filter(part).withColumn(timed.ARRIVED, F.lit(at).cast("bigint"))
+        replay.replay(stamped, ["true"], folder, begin)
+    newest = given.agg(F.max("last_switched").alias("newest")).first().newest
+    windows.write_closing(stamped, folder, newest, options)
+    begin(replay.arrivals(spark, folder, stamped.schema)).awaitTermination()
+
+
+def _watermark(parts: int) -> str:
+    """Up to where records are complete once the first parts are in."""
+    came = " or ".join(f"({part})" for part in list(ARRIVALS.values())[:parts])
+    return f"(select max(last_switched) - {OPTIONS.default_max_input_delay_ms} from flows where {came})"
+
+
+@register(
+    "timed_panes",
+    f"""select window_end, {ITF}, timing, cast(row_number() over (
+      partition by window_end, {ITF} order by grp) - 1 as bigint) as pane,
+      cast(sum(n) as bigint) as rows, cast(sum(bytes_in) as bigint) as bytes_in,
+      cast(sum(bytes_out) as bigint) as bytes_out from (
+        select *, case when not late then 0 when part = 2 and 1 = any(parts) then 1 else part end
+          as grp, case when late then 'late' else 'on_time' end as timing from (
+          select *, list(case when late then part end) over (partition by window_end, {ITF}) as parts
+          from (
+            select window_end, {ITF}, part, late, count(*) as n, sum(bytes_in) as bytes_in,
+              sum(bytes_out) as bytes_out from (
+              select *, case part when 0 then false when 1 then window_end <= {_watermark(1)}
+                when 2 then window_end <= {_watermark(2)} else window_end <= {_watermark(3)} end as late
+              from (select *, case when protocol = 17 then 1 + ls % 3 else 0 end as part from win))
+            group by all)))
+      group by window_end, {ITF}, grp, timing""",
+)
+def timed_panes(spark, sf_dir):
+    """Every pane as it was fired: late ones 50 ms after their first row, by time of arrival."""
+    options = FlowOptions(late_processing_delay_ms=50, allowed_lateness_ms=DAY)
+    folder = shared_folder(spark, "timed-panes")
+    reducer = reducers.sums_and_flags()
+
+    def start(rows: DataFrame):
+        found = timed.timed_panes(rows, options, INTERFACE_KEYS, reducer)
+        return timed.start_timed(found, _parquet_writer(f"{folder}/out", spark), f"{folder}/checkpoint")
+
+    _arriving(spark, sf_dir, folder, options, start)
+    found = spark.read.parquet(f"{folder}/out")
+    return found.select(*INTERFACE_KEYS, "timing", "pane", "rows", "bytes_in", "bytes_out")
+
+
+def _stamped(rows: DataFrame, options: FlowOptions) -> DataFrame:
+    """A pane stream with the watermark and arrival times that held values go by."""
+    stamped = rows.withColumn(timed.ARRIVED, F.unix_millis("_metadata.file_modification_time"))
+    stamped = stamped.withColumn("window_end", F.col("window_start") + W)
+    seen = F.timestamp_millis("window_end")
+    return stamped.withColumn(timed.SEEN_AT, seen).withWatermark(
+        timed.SEEN_AT, f"{options.default_max_input_delay_ms + timed.slack_ms(options)} milliseconds"
+    )
+
+
+@register(
+    "held_samples",
+    f"select window_start, {ITF}, dscp, bytes_in, bytes_out, cast(0 as integer) as pane"
+    " from sum_exporter_interface_tos",
+)
+def held_samples(spark, sf_dir):
+    """Each value as it was emitted when its series ended: both panes of a time are one sample."""
+    options = FlowOptions(metric_accumulation_delay_ms=DAY, allowed_lateness_ms=0)
+    folder = shared_folder(spark, "held-samples")
+    write = _parquet_writer(f"{folder}/out", spark)
+
+    def run(stream: DataFrame) -> None:
+        found = timed.held_samples(_stamped(stream, options), options)
+        timed.start_timed(found, write, f"{folder}/checkpoint").awaitTermination()
+
+    stream = _pane_stream(spark, sf_dir, folder)
+    run(stream)
+    # A record of a series of its own, a day on, ends all others; its own goes on.
+    rows = spark.read.parquet(f"{folder}/pane-rows")
+    newest = rows.agg(F.max("window_start").alias("window_start")).withColumn("grouped_by", F.lit("closing"))
+    more = rows.limit(0).unionByName(newest.withColumn("window_start", F.col("window_start") + DAY), allowMissingColumns=True)
+    more.write.mode("append").parquet(f"{folder}/pane-rows")
+    run(stream)
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select("window_start", *G.GROUPINGS[G.TOS].columns, "bytes_in", "bytes_out", "pane")

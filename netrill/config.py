@@ -21,8 +21,9 @@ class FlowOptions:
     late_processing_delay_ms: int = MINUTE_MS
     allowed_lateness_ms: int = 4 * 60 * MINUTE_MS
     summary_accumulation_delay_ms: int = 0
-    # Flows that end later than this after now are set aside; None lets any clock through.
-    max_clock_ahead_ms: int | None = 60 * MINUTE_MS
+    # Streams never take a record's time as later than now for the watermark. With a limit, flows
+    # that end later than this after now are set aside as well; by default they are kept.
+    max_clock_ahead_ms: int | None = None
     # metric samples
     metric_accumulation_delay_ms: int = 0
     metric_max_batch_size: int = 10_000

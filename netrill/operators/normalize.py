@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from netrill.functions import records, windows
@@ -20,8 +22,8 @@ def with_shift(flows: DataFrame, window_ms: int) -> DataFrame:
     return flows.withColumn("shift", windows.node_shift(node, window_ms))
 
 
-def canonical(flows: DataFrame) -> DataFrame:
-    """Project every field a grouping or an aggregate needs, normalised.
+def canonical(flows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Project every field a grouping or an aggregate needs, normalised, and what is in ``keep``.
 
     A conversation has no direction: its smaller address comes first and the
     host names follow their addresses.
@@ -55,7 +57,8 @@ def canonical(flows: DataFrame) -> DataFrame:
         "last_switched": F.coalesce(F.col("last_switched"), F.lit(0).cast("bigint")),
         "shift": F.col("shift"),
     }
-    return flows.select(*[value.alias(name) for name, value in columns.items()])
+    more = [name for name in keep if name not in columns]
+    return flows.select(*[value.alias(name) for name, value in columns.items()], *more)
 
 
 KEY_COLUMNS = (*EXPORTER_COLUMNS, "if_index", "dscp", *CONVERSATION_COLUMNS)

@@ -15,8 +15,6 @@ START_BEFORE_SHIFT = "start_before_shift"
 END_BEFORE_START = "end_before_start"
 REACHES_BACK = "reaches_back"
 AHEAD_OF_CLOCK = "ahead_of_clock"
-#: Reserved node of records that only close windows; no clock limit holds for them.
-CLOSING_NODE = -1
 
 
 def _span(options: FlowOptions) -> tuple[Column, Column, Column]:
@@ -40,7 +38,7 @@ def drop_reason(options: FlowOptions) -> Column:
     ahead = F.lit(False)
     if options.max_clock_ahead_ms is not None:
         limit = F.unix_millis(F.current_timestamp()) + F.lit(options.max_clock_ahead_ms)
-        ahead = (last > limit) & (F.col("node_id") != CLOSING_NODE)
+        ahead = last > limit
     return (
         F.when(F.col("node_id").isNull(), MISSING_EXPORTER)
         .when(F.col("delta_switched") < F.col("shift"), START_BEFORE_SHIFT)
@@ -89,7 +87,7 @@ def window_rows(
 ) -> DataFrame:
     """Keyed rows: full key, window, bytes by direction, names and flags."""
     located = flows.filter(F.col("node_id").isNotNull())
-    exploded = explode_windows(normalize.canonical(prepared(located, options)), options)
+    exploded = explode_windows(normalize.canonical(prepared(located, options), keep), options)
     share = windows.bytes_in_window(
         F.col("delta_switched"),
         F.col("last_switched"),

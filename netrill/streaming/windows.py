@@ -16,12 +16,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
 from netrill.operators.aggregate import merged_names, merged_values
-from netrill.operators.windowing import CLOSING_NODE, window_rows
+from netrill.operators.windowing import window_rows
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
 from netrill.streaming.sinks import fan_out
@@ -45,15 +45,46 @@ def closing_delay_ms(options: FlowOptions) -> int:
     )
 
 
-def watermarked(rows: DataFrame, options: FlowOptions) -> DataFrame:
-    return rows.withColumn("closes_at", F.timestamp_millis("window_end")).withWatermark(
+#: Set in records that only move the watermark on; see `write_closing`.
+CLOSING = "closing"
+
+
+def window_end_or_now(rows: DataFrame, options: FlowOptions) -> Column:
+    """Event time of a window row: its window's end, but not past that of a record of now.
+
+    So a record ahead of the clock is kept, and closes no window of others.
+    """
+    ahead = F.unix_millis(F.current_timestamp()) + F.lit(options.fixed_window_size_ms)
+    return unless_closing(rows, F.col("window_end"), ahead)
+
+
+def unless_closing(rows: DataFrame, time: Column, limit: Column) -> Column:
+    """A time up to a limit, which closing records pass."""
+    limited = F.least(time, limit)
+    return F.when(F.col(CLOSING), time).otherwise(limited) if CLOSING in rows.columns else limited
+
+
+Policy = Callable[[DataFrame, FlowOptions], Column]
+
+
+def watermarked(rows: DataFrame, options: FlowOptions, policy: Policy = window_end_or_now) -> DataFrame:
+    return rows.withColumn("closes_at", F.timestamp_millis(policy(rows, options))).withWatermark(
         "closes_at", f"{closing_delay_ms(options)} milliseconds"
     )
 
 
-def stream_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
+def without_closing(rows: DataFrame, event_time: str) -> DataFrame:
+    """Rows that are data. The condition names the event time, or it would be pushed below the watermark."""
+    if CLOSING not in rows.columns:
+        return rows
+    marked = F.coalesce(F.col(CLOSING), F.lit(False))
+    return rows.filter(~marked | F.col(event_time).isNull()).drop(CLOSING)
+
+
+def stream_rows(flows: DataFrame, options: FlowOptions, policy: Policy = window_end_or_now) -> DataFrame:
     """Window rows of a stream, with watermark."""
-    return watermarked(window_rows(flows, options), options)
+    keep = [CLOSING] if CLOSING in flows.columns else []
+    return without_closing(watermarked(window_rows(flows, options, keep), options, policy), "closes_at")
 
 
 def leaf_state(rows: DataFrame) -> DataFrame:
@@ -155,9 +186,11 @@ def with_closing(flows: DataFrame, folder: str) -> DataFrame:
     """
     os_path = os.path.join(folder, CLOSING_ROWS)
     spark = flows.sparkSession
+    schema = T.StructType([*flows.schema.fields, T.StructField(CLOSING, T.BooleanType())])
     if not _exists(spark, os_path):
-        spark.createDataFrame([], flows.schema).write.parquet(os_path)
-    return flows.unionByName(spark.readStream.schema(flows.schema).parquet(os_path))
+        spark.createDataFrame([], schema).write.parquet(os_path)
+    closing = spark.readStream.schema(schema).parquet(os_path)
+    return flows.withColumn(CLOSING, F.lit(False)).unionByName(closing)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -166,21 +199,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_closing(flows: DataFrame, folder: str, newest_ms: int, options: FlowOptions) -> None:
-    """Add a record of no bytes, late enough to close every window before it.
+    """Add a record that is late enough to close every window before it.
 
-    Its own window never closes, so it shows up nowhere.
+    It is marked, and left out once the watermark has seen it.
     """
     spark = flows.sparkSession
     at = newest_ms + closing_delay_ms(options) + 2 * options.fixed_window_size_ms
     known = {
-        "node_id": CLOSING_NODE,
+        "node_id": 0,
         "num_bytes": 0,
         "delta_switched": at,
         "first_switched": at,
         "last_switched": at,
+        CLOSING: True,
     }
-    row = [known.get(name) for name in flows.schema.names]
-    relaxed = T.StructType([T.StructField(f.name, f.dataType) for f in flows.schema.fields])
+    fields = [T.StructField(f.name, f.dataType) for f in flows.schema.fields]
+    relaxed = T.StructType([*fields, T.StructField(CLOSING, T.BooleanType())])
+    row = [known.get(name) for name in relaxed.names]
     spark.createDataFrame([row], relaxed).write.mode("append").parquet(
         os.path.join(folder, CLOSING_ROWS)
     )

@@ -111,20 +111,34 @@ def test_flows_ahead_of_the_clock_are_set_aside(spark):
     assert [r.reason for r in reasons] == ["ahead_of_clock"]
 
 
-def test_closing_records_pass_the_clock_limit(spark, tmp_path):
+def test_closing_records_show_up_nowhere(spark, tmp_path):
+    """Neither in the state nor in current summaries, although they move the watermark."""
+    folder = str(tmp_path)
+    given = flows(spark, [flow(S, S + 30_000, 5, node_id=-1)])
+
+    def begin(stream):
+        joined = windows.with_closing(stream, folder)
+        return windows.start_upsert(joined, OPTIONS, f"{folder}/checkpoint", folder)
+
+    replay.replay(given, ["true"], folder, begin)
+    windows.write_closing(given, folder, S, OPTIONS)
+    begin(replay.arrivals(spark, folder, given.schema)).awaitTermination()
+    # A real node of that number stays.
+    found = windows.current_summaries(spark, folder)
+    assert {(r.node_id, r.range_start) for r in found.collect()} == {(-1, windows_of(-1))}
+
+
+def windows_of(node):
+    return window_start(node, MINUTE, S)
+
+
+def test_flows_ahead_of_the_clock_are_kept(spark):
     import time
 
     from netrill.operators import windowing
 
-    options = FlowOptions(max_clock_ahead_ms=60_000)
-    now = int(time.time() * 1000)
-    given = flows(spark, [flow(now - 1000, now, 1)])
-    windows.write_closing(given, str(tmp_path), now, options)
-    closing = spark.read.parquet(f"{tmp_path}/{windows.CLOSING_ROWS}")
-    assert windowing.window_rows(closing, options).count() == 1
-    # By default a far clock is set aside, so that it can't close the windows of others.
-    far = flows(spark, [flow(now + 10**12, now + 10**12, 1)])
-    assert windowing.window_rows(far, FlowOptions()).count() == 0
+    far = int(time.time() * 1000) + 10**12
+    assert windowing.window_rows(flows(spark, [flow(far, far, 1)]), FlowOptions()).count() == 1
 
 
 def test_series_indexes_on_a_stream(spark, tmp_path):
