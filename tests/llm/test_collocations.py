@@ -69,9 +69,9 @@ def test_nothing_and_long_texts(spark, odd, nothing):
     assert collocations.mine(nothing, least=1).collect() == []
     got = collocations.mine(odd, least=2).collect()
     assert [r["phrase"] for r in got if r["a"] == 2 and r["lang"] == "und"] == ["same words twice over here"]
-    long = spark.createDataFrame([("ab cd " * 200_000, "en")], "text string, lang string")
-    got = collocations.mine(long, least=100).collect()
-    assert {(r["phrase"], r["a"]) for r in got} == {("ab cd ab cd ab", 199_998), ("cd ab cd ab cd", 199_998)}
+    text = "ab cd " * 100_000
+    long = spark.createDataFrame([(text, "en")], "text string, lang string")
+    assert sorted(map(tuple, collocations.mine(long).collect())) == brute([("en", text)], 100)
 
 
 def test_words_with_one_code_are_refused(spark, monkeypatch):
