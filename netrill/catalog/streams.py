@@ -16,14 +16,14 @@ from netrill.catalog.records import WIRE_COLUMNS
 from netrill.catalog.registry import Query
 from netrill.catalog.registry import register as register_query
 from netrill.config import FlowOptions
-from netrill.operators import aggregate, reducers, reports, windowing
+from netrill.operators import aggregate, documents, reducers, reports, windowing
 from netrill.plans import groupings as G
 from netrill.plans.sums import shape_sums
 from netrill.plans.summaries import summaries_of_rows
 from netrill.schema import SUMMARY_COLUMNS
 from netrill.session import shared_folder
 from netrill.sources import kafka, protobuf, tables
-from netrill.streaming import panes, replay, series, timed, windows
+from netrill.streaming import panes, quarantine, replay, series, sinks, timed, windows
 
 
 
@@ -419,3 +419,84 @@ def held_samples(spark, sf_dir):
     run(stream)
     out = spark.read.parquet(f"{folder}/out")
     return out.select("window_start", *G.GROUPINGS[G.TOS].columns, "bytes_in", "bytes_out", "pane")
+
+
+@register(
+    "stream_quarantine",
+    """select 'malformed' as reason, count(*) as n from nation union all
+      select reason, count(*) from (select case when node_id is null then 'missing_exporter'
+        when ds < shift then 'start_before_shift' when ls < ds then 'end_before_start'
+        when ls - ds >= 900000 then 'reaches_back' end as reason from shifted)
+      where reason is not null group by reason union all
+      select 'read', (select count(*) from flows) + (select count(*) from nation) union all
+      select 'in_sums', count(*) from (select distinct f from (
+        select row_number() over () as f, * from numbered) where ls >= ds)""",
+)
+def stream_quarantine(spark, sf_dir):
+    """Messages read, flows in the sums, and what was left out by reason; the parts add up.
+
+    The names of nations come as messages, too, and are malformed.
+    """
+    folder = shared_folder(spark, "quarantine")
+    messages = protobuf.encode_flows(tables.flows(spark, sf_dir))
+    broken = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.concat(F.lit("\u007f"), "n_name").cast("binary").alias("value")
+    )
+    messages.unionByName(broken).write.parquet(f"{folder}/messages")
+    options = FlowOptions()
+    quarantine.start_messages(
+        spark, options, f"{folder}/checkpoint", f"{folder}/out", f"{folder}/messages"
+    ).awaitTermination()
+    flows = kafka.flow_stream(spark, options, f"{folder}/messages")
+    kept = windowing.prepared(flows.filter("node_id is not null"), options)
+    kept = kept.filter(windowing.drop_reason(options).isNull()).select("node_id")
+    write = _parquet_writer(f"{folder}/kept", spark)
+    windows.start(kept, "append", write, f"{folder}/checkpoint-kept").awaitTermination()
+    read = spark.read.parquet(f"{folder}/messages").agg(F.count("*").alias("n"))
+    sums = spark.read.parquet(f"{folder}/kept").agg(F.count("*").alias("n"))
+    found = quarantine.counts(spark, f"{folder}/out").select("reason", "n")
+    for name, one in (("read", read), ("in_sums", sums)):
+        found = found.unionByName(one.select(F.lit(name).alias("reason"), "n"))
+    return found
+
+
+@register(
+    "committed_sinks",
+    f"""select window_end, {ITF}, cast(row_number() over (partition by window_end, {ITF} order by part) - 1
+        as integer) as pane, bytes_in, bytes_out from (
+      select window_start + {W} as window_end, {ITF}, coalesce(protocol = 17, false) as part,
+        cast(sum(bytes_in) as bigint) as bytes_in, cast(sum(bytes_out) as bigint) as bytes_out
+      from win group by all)""",
+)
+def committed_sinks(spark, sf_dir):
+    """Two batches of panes through all sinks; the second stops half-way and runs again.
+
+    Documents of the interface totals, each with its pane's number from the samples' labels.
+    """
+    base = shared_folder(spark, "committed")
+    options = FlowOptions(documents_path=f"{base}/documents", samples_path=f"{base}/samples")
+    flows = tables.flows(spark, sf_dir)
+    for batch_id, part in enumerate(PARTS):
+        rows = windowing.window_rows(flows.filter(part), options)
+        if batch_id:
+            sinks.fan_out(rows, options, batch_id, panes_path=f"{base}/series")
+        sinks.commit(rows, options, batch_id, base)
+    # What a batch that never got whole has left is not seen.
+    sinks.fan_out(windowing.window_rows(flows.limit(5), options), options, 2, panes_path=f"{base}/series")
+    found = sinks.committed(spark, spark.read.parquet(f"{base}/samples"), base)
+    totals = documents.parse_documents(
+        sinks.committed(spark, spark.read.text(f"{base}/documents"), base)
+    ).filter(F.col("grouped_by") == G.INTERFACE)
+    keys = ["node_id", "if_index"]
+    numbers = found.filter(F.col("labels")["__name__"] == G.INTERFACE).select(
+        "batch",
+        (F.col("ts_ms") + 1).alias("range_end"),
+        F.col("labels")["nodeId"].cast("int").alias("node_id"),
+        F.col("labels")["ifIndex"].cast("int").alias("if_index"),
+        F.col("labels")["pane"].cast("int").alias("pane"),
+    ).distinct()
+    joined = totals.join(numbers, ["batch", "range_end", *keys])
+    return joined.select(
+        F.col("range_end").alias("window_end"), "node_id", "foreign_source", "foreign_id", "if_index", "pane",
+        F.col("bytes_ingress").alias("bytes_in"), F.col("bytes_egress").alias("bytes_out"),
+    )

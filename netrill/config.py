@@ -29,6 +29,8 @@ class FlowOptions:
     metric_max_batch_size: int = 10_000
     metric_max_batch_bytes: int = 512 * 1024
     considered_hosts: str = ""
+    # labels that every sample gets, as (name, value) pairs
+    fixed_labels: tuple[tuple[str, str], ...] = ()
     # documents
     index_strategy: str = "MONTHLY"
     index_prefix: str = "flow_summaries"

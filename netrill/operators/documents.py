@@ -19,10 +19,14 @@ def index_name(ts_ms: Column, options: FlowOptions) -> Column:
     return F.concat(F.lit(f"{options.index_prefix}-"), F.substring(text, 1, length))
 
 
-def document_id() -> Column:
-    """Same window and key, same identity: writing a document twice replaces it."""
+def document_id(pane: Column | None = None) -> Column:
+    """Same window and key, same identity: writing a document twice replaces it.
+
+    Of a window's further panes each is a document of its own.
+    """
     parts = ["range_end", "grouped_by", "node_id", "grouped_by_key"]
-    return F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in parts]))
+    further = [] if pane is None else [F.when(pane > 0, pane.cast("string"))]
+    return F.md5(F.concat_ws("|", *[F.col(name).cast("string") for name in parts], *further))
 
 
 def summary_json() -> Column:
@@ -56,7 +60,7 @@ def summary_json() -> Column:
 def documents(summaries: DataFrame, options: FlowOptions) -> DataFrame:
     return summaries.select(
         index_name(F.col("range_end"), options).alias("index"),
-        document_id().alias("id"),
+        document_id(F.col("pane") if "pane" in summaries.columns else None).alias("id"),
         F.col("range_end"),
         summary_json().alias("value"),
     )

@@ -101,7 +101,11 @@ def to_samples(
         F.struct(F.lit("in").alias("direction"), F.col("bytes_in").alias("bytes")),
         F.struct(F.lit("out").alias("direction"), F.col("bytes_out").alias("bytes")),
     )
-    fixed = [F.lit(text) for pair in (fixed_labels or {}).items() for text in pair]
+    fixed = [
+        part
+        for name, value in (fixed_labels or {}).items()
+        for part in (metrics.sanitize_label_name(F.lit(name)), F.lit(value))
+    ]
     common = F.create_map(
         *fixed,
         F.lit(metrics.METRIC_NAME_LABEL),

@@ -51,8 +51,8 @@ def rank_shapes(sums: DataFrame, k: int) -> DataFrame:
     return topk.keep_top(eligible, PARENT_COLUMNS, amount, F.col("own_key"), k)
 
 
-def to_summaries(ranked: DataFrame, window_ms: int) -> DataFrame:
-    """Ranked sums in output form, see ``SUMMARY_COLUMNS``."""
+def to_summaries(ranked: DataFrame, window_ms: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Ranked sums in output form, see ``SUMMARY_COLUMNS``, and the columns in ``keep``."""
     is_total, is_host = _shape_is(TOTAL_NAMES), _shape_is(HOST_NAMES)
     is_conversation = _shape_is(CONVERSATION_NAMES)
     columns = {
@@ -77,7 +77,7 @@ def to_summaries(ranked: DataFrame, window_ms: int) -> DataFrame:
         "grouped_by_key": grouped_by_key(),
         "ranking": F.when(~is_total, F.col("ranking")),
     }
-    return ranked.select(*[columns[name].alias(name) for name in SUMMARY_COLUMNS])
+    return ranked.select(*[columns[name].alias(name) for name in SUMMARY_COLUMNS], *keep)
 
 
 def summaries_of_rows(

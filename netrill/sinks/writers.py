@@ -71,7 +71,8 @@ def write_samples(
     fixed_labels: Mapping[str, str] | None = None,
 ) -> None:
     """Samples of rows that carry a ``pane``, ordered and cut into batches."""
-    found = samples.to_samples(ranked, options.fixed_window_size_ms, fixed_labels)
+    labels = {**dict(options.fixed_labels), **(fixed_labels or {})}
+    found = samples.to_samples(ranked, options.fixed_window_size_ms, labels)
     cut = cut_batches(with_series(found), options)
     cut.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 

@@ -78,5 +78,5 @@ def message_stream(
 
 
 def flow_stream(spark: SparkSession, options: FlowOptions, folder: str | None = None) -> DataFrame:
-    """Decoded flow records; malformed messages are left out."""
+    """Decoded flow records; malformed messages go to the quarantine stream."""
     return protobuf.accepted(protobuf.decode_flows(message_stream(spark, options, folder)))

@@ -43,7 +43,12 @@ DIRECTIONS = ("INGRESS", "EGRESS")
 PLAIN_TEXTS = [name for name, _, kind in FLOW_FIELDS if kind == "string"]
 WRAPPED = [name for name, _, kind in FLOW_FIELDS if kind.startswith("wrapped")]
 DECODED_SCHEMA = T.StructType(
-    [*FLOW_SCHEMA.fields, T.StructField("decode_error", T.StringType())]
+    [
+        *FLOW_SCHEMA.fields,
+        T.StructField("decode_error", T.StringType()),
+        # Of messages that could not be decoded only.
+        T.StructField("payload", T.BinaryType()),
+    ]
 )
 
 
@@ -122,23 +127,23 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for payload in batch["value"]:
             try:
-                rows.append((*_record(make(), payload), None))
+                rows.append((*_record(make(), payload), None, None))
             except (DecodeError, TypeError) as error:
-                rows.append((*blank, str(error) or "malformed message"))
+                rows.append((*blank, str(error) or "malformed message", payload))
         yield _frame(rows)
 
 
 def decode_flows(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Flow columns and ``decode_error`` of the messages in a binary column."""
+    """Flow columns of the messages in a binary column; ``decode_error`` and ``payload`` of bad ones."""
     return messages.select(F.col(value).alias("value")).mapInPandas(_decode, DECODED_SCHEMA)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("decode_error").isNull()).drop("decode_error")
+    return decoded.filter(F.col("decode_error").isNull()).drop("decode_error", "payload")
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("decode_error").isNotNull()).select("decode_error")
+    return decoded.filter(F.col("decode_error").isNotNull()).select("decode_error", "payload")
 
 
 def _message(flow, row: dict) -> bytes:

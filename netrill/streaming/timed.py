@@ -33,6 +33,7 @@ from netrill.operators.reducers import Reducer
 from netrill.operators.samples import SERIES_COLUMNS
 from netrill.operators.windowing import window_rows
 from netrill.plans.sums import KEY_COLUMNS
+from netrill.streaming import sinks
 from netrill.streaming.series import _frame, _key, place
 from netrill.streaming.windows import (
     CLOSING,
@@ -405,3 +406,31 @@ def start_timed(
     finally:
         for name, value in before.items():
             conf.unset(name) if value is None else conf.set(name, value)
+
+
+def start_sinks(
+    flows: DataFrame,
+    options: FlowOptions,
+    checkpoint: str,
+    folder: str,
+    records_path: str | None = None,
+    once: bool = True,
+    policy: Policy = last_switched_or_now,
+) -> StreamingQuery:
+    """Panes of flows, by the delays in `options`, to all sinks whose target is set.
+
+    Rows that are too late for their window go below `folder`, with the batch's other outputs.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            late = batch.filter(F.col("timing") == TOO_LATE)
+            late.write.mode("overwrite").parquet(f"{folder}/too_late/batch={batch_id}")
+            panes = batch.filter(F.col("timing") != TOO_LATE).drop("timing", "pane", "rows")
+            sinks.commit(panes, options, batch_id, folder, records_path)
+        finally:
+            batch.unpersist()
+
+    found = timed_panes(timed_rows(flows, options, policy), options)
+    return start_timed(found, write, checkpoint, once)
