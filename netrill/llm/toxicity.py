@@ -224,12 +224,16 @@ def _first_values(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, f
 
 
 def _landmarks(codes: list[list[int]], most: int) -> list[int]:
-    """The first units that aren't much like one before them."""
-    dense = _dense(codes)
+    """The first units that aren't much like one before them; only chosen ones are held as vectors."""
     chosen: list[int] = []
-    for place in range(len(codes)):
-        if len(chosen) < most and (not chosen or (dense[chosen] @ dense[place]).max() < 0.7):
+    held: list[np.ndarray] = []
+    for place, code in enumerate(codes):
+        if len(chosen) == most:
+            break
+        row = _dense([code])[0]
+        if all(one @ row < 0.7 for one in held):
             chosen.append(place)
+            held.append(row)
     return chosen
 
 
