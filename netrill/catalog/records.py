@@ -284,6 +284,33 @@ def host_in_ranges(spark, sf_dir):
     return kept.select("window_start", "node_id", "if_index", "address", "bytes_in", "bytes_out")
 
 
+RANGE6_TEXT = "2001:db8::40-2001:DB8:0:0:0:0:0:7f, 2001:db8:1::/48, 2001:db8:0:2::1.2.3.4, 10.0.0.250-2001:db8::3"
+
+
+@register(
+    "ipv6_in_ranges",
+    """select p, text from (select distinct l_partkey % 300 as p, l_linenumber % 4 as kind,
+        case l_linenumber % 4 when 0 then '2001:db8::' || printf('%x', l_partkey % 300)
+          when 1 then '2001:0DB8:' || printf('%x', l_partkey % 3) || ':0:0:0:0:' || printf('%04x', l_partkey % 300)
+          when 2 then '::ffff:10.0.0.' || (l_partkey % 300)
+          else '2001:db8:0:2::1.2.3.' || (l_partkey % 300) end as text from lineitem)
+      where case kind when 0 then p <= 3 or p between 64 and 127
+        when 1 then (p % 3 = 0 and (p <= 3 or p between 64 and 127)) or p % 3 = 1
+        when 2 then p between 250 and 255 else p = 4 end""",
+)
+def ipv6_in_ranges(spark, sf_dir):
+    """Addresses of both kinds in several spellings, and a range that goes from one to the other."""
+    p, kind = (F.col("l_partkey") % 300).cast("bigint"), F.col("l_linenumber") % 4
+    text = (
+        F.when(kind == 0, F.format_string("2001:db8::%x", p))
+        .when(kind == 1, F.format_string("2001:0DB8:%x:0:0:0:0:%04x", (F.col("l_partkey") % 3).cast("bigint"), p))
+        .when(kind == 2, F.format_string("::ffff:10.0.0.%d", p))
+        .otherwise(F.format_string("2001:db8:0:2::1.2.3.%d", p))
+    )
+    found = tables.table(spark, sf_dir, "lineitem").select(p.alias("p"), text.alias("text")).distinct()
+    return ranges.in_ranges(found, "text", ranges.configured_ranges(spark, RANGE6_TEXT))
+
+
 @register(
     "parse_ranges",
     """, texts as (select s_suppkey as id, s_suppkey % 256 as o, 8 + s_suppkey % 25 as bits

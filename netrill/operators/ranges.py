@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from netrill.functions import addresses
 
@@ -92,30 +92,68 @@ def configured_ranges(spark: SparkSession, considered_hosts: str) -> DataFrame:
     return parse_ranges(text, "text")
 
 
-def inside_range(packed: Column) -> Column:
-    """Condition of a join with ranges: ``low`` <= address <= ``high``.
+def _digits(packed: Column) -> Column:
+    """Hexadecimal digits; addresses of one length sort by them as they do by value."""
+    return F.hex(packed)
 
-    Shorter addresses sort before longer ones.
+
+def merged(ranges: DataFrame) -> DataFrame:
+    """The same addresses as ranges that neither overlap nor touch the same address.
+
+    A range that goes from four-byte to sixteen-byte addresses is cut in two.
+    """
+    low, high = F.octet_length("low"), F.octet_length("high")
+    pieces = F.array(
+        F.when(low == high, F.struct("low", "high")),
+        F.when(low < high, F.struct("low", F.unhex(F.lit("F" * 8)).alias("high"))),
+        F.when(low < high, F.struct(F.unhex(F.lit("0" * 32)).alias("low"), "high")),
+    )
+    cut = ranges.select(F.explode(F.array_compact(pieces)).alias("piece")).select("piece.*")
+    cut = cut.select(
+        F.octet_length("low").alias("size"), _digits(F.col("low")).alias("low"), _digits(F.col("high")).alias("high")
+    )
+    order = Window.partitionBy("size").orderBy("low", "high")
+    reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("low") > reached), 1).otherwise(0)
+    numbered = cut.withColumn("begins", begins).withColumn("number", F.sum("begins").over(order))
+    return numbered.groupBy("size", "number").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("number")
+
+
+def indexed(ranges: DataFrame) -> DataFrame:
+    """Disjoint ranges under the bytes that all of their addresses begin with.
+
+    As they are disjoint, at most 255 ranges share a prefix: each holds the end of another
+    next byte. So an address meets few ranges however many there are.
     """
+    disjoint = merged(ranges)
+    same = F.filter(
+        F.sequence(F.lit(0), F.col("size")),
+        lambda n: F.col("low").substr(F.lit(1), n * 2) == F.col("high").substr(F.lit(1), n * 2),
+    )
+    return disjoint.withColumn("prefix", F.col("low").substr(F.lit(1), F.array_max(same) * 2))
 
-    def not_after(left: Column, right: Column) -> Column:
-        longer = F.octet_length(left) < F.octet_length(right)
-        return longer | ((F.octet_length(left) == F.octet_length(right)) & (left <= right))
 
-    return not_after(F.col("low"), packed) & not_after(packed, F.col("high"))
+def addresses_in(rows: DataFrame, address: str, ranges: DataFrame) -> DataFrame:
+    """The different texts of a column whose address lies in any range.
+
+    Every address is looked up under each of its prefixes, in a join on equal prefixes.
+    """
+    packed = rows.select(F.col(address).alias("text")).distinct().withColumn("packed", addresses.packed(F.col("text")))
+    known = packed.filter(F.col("packed").isNotNull()).select(
+        "text", F.octet_length("packed").alias("size"), _digits(F.col("packed")).alias("digits")
+    )
+    prefixes = F.transform(F.sequence(F.lit(0), F.col("size")), lambda n: F.col("digits").substr(F.lit(1), n * 2))
+    keyed = known.withColumn("prefix", F.explode(prefixes))
+    held = keyed.join(indexed(ranges), ["size", "prefix"])
+    return held.filter((F.col("low") <= F.col("digits")) & (F.col("digits") <= F.col("high"))).select("text").distinct()
 
 
 def in_ranges(
     rows: DataFrame, address: str, ranges: DataFrame, others: Column | None = None
 ) -> DataFrame:
-    """Rows whose address lies in any range, and those for which ``others`` holds.
-
-    ``ranges`` comes from a run option and is as small as that text, so it is
-    broadcast.
-    """
-    packed = rows.withColumn("packed_address", addresses.packed(F.col(address)))
-    inside = F.coalesce(inside_range(F.col("packed_address")), F.lit(False))
-    if others is not None:
-        inside = others | inside
-    listed = F.broadcast(ranges.select("low", "high"))
-    return packed.join(listed, inside, "left_semi").drop("packed_address")
+    """Rows whose address lies in any range, and those for which ``others`` holds."""
+    held = addresses_in(rows, address, ranges).select(F.col("text").alias("_held"))
+    if others is None:
+        return rows.join(held, F.col(address) == F.col("_held"), "left_semi")
+    marked = rows.join(held, F.col(address) == F.col("_held"), "left")
+    return marked.filter(others | F.col("_held").isNotNull()).drop("_held")
