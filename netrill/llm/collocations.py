@@ -38,7 +38,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Shards of the cycle, so steps that a phrase is counted for.
-SHARDS = 3
+SHARDS = 4
 #: Bounds of the broadcast table of first steps, one byte a slot.
 LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 26
 #: Texts are encoded in slices of about this many bytes.
