@@ -298,7 +298,7 @@ def stretches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and repeated of every row of `docs`."""
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of `docs`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text)).alias("code"))
     held, found = stretches(rows.select("code", "text"))
@@ -311,9 +311,10 @@ def removed(docs: DataFrame) -> DataFrame:
     cut = others.join(found, "code", "left").mapInArrow(_cutting, RESULT)
     results = written(plain.unionAll(cut).toDF("code", "n_removed", "n_spans", "kept_sha256"), "repeat-results")
     slim = rows.select("doc_id", "code", F.octet_length("text").cast("long").alias("n_bytes"))
-    found = (F.col("n_removed") > 0).alias("repeated")
-    return slim.join(results, "code").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", found)
+    return slim.join(results, "code").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return removed(table(spark, folder, "documents").select("doc_id", "text"))
+    """The contract's columns, and `repeated`: whether anything was removed."""
+    rows = removed(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.withColumn("repeated", F.col("n_removed") > 0)
