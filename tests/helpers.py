@@ -4,14 +4,14 @@ from netrill.schema import FLOW_SCHEMA
 
 DEFAULTS = {
     "node_id": 99,
-    "foreign_source": "SomeFs",
-    "foreign_id": "SomeFid",
+    "foreign_source": "plant",
+    "foreign_id": "edge-7",
     "direction": "INGRESS",
     "input_snmp_ifindex": 98,
     "output_snmp_ifindex": None,
     "dscp": 0,
     "ecn": 0,
-    "application": "SomeApplication",
+    "application": "mail",
     "protocol": 6,
     "location": "",
     "src_address": "10.0.0.1",

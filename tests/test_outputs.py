@@ -122,9 +122,9 @@ def test_sample_labels(spark):
             "__name__": "EXPORTER_INTERFACE_TOS", "nodeId": "99", "ifIndex": "98", "dscp": "0",
             **common},
         "EXPORTER_INTERFACE_APPLICATION": {
-            "__name__": "BY_APP_99_98", "application": "SomeApplication", **common},
+            "__name__": "BY_APP_99_98", "application": "mail", **common},
         "EXPORTER_INTERFACE_TOS_APPLICATION": {
-            "__name__": "BY_TOS_AND_APP_99_98", "dscp": "0", "application": "SomeApplication",
+            "__name__": "BY_TOS_AND_APP_99_98", "dscp": "0", "application": "mail",
             **common},
     }
     assert {(r.ts_ms, r.value) for r in found.collect()} == {(1500000007198, 9.0)}

@@ -29,45 +29,45 @@ def test_bytes_are_split_over_windows(spark):
         return flow(s + a * 1000, s + b * 1000 - 1, size, foreign_id=name)
 
     given = [
-        seconds(17, 32, 1500, "Flow1"),
-        seconds(10, 32, 4400, "Flow2"),
-        seconds(10, 40, 9000, "Flow3"),
-        seconds(12, 37, 10000, "Flow4"),
-        seconds(23, 27, 2000, "Flow5"),
+        seconds(17, 32, 1500, "app-a"),
+        seconds(10, 32, 4400, "app-b"),
+        seconds(10, 40, 9000, "app-c"),
+        seconds(12, 37, 10000, "app-d"),
+        seconds(23, 27, 2000, "app-e"),
     ]
     found = build_summaries(flows(spark, given), options, [G.INTERFACE])
     at = ((F.col("range_start") - s) / 1000).cast("int")
     assert collected(found, "foreign_id", at, "bytes_total") == [
-        ("Flow1", 10, 300), ("Flow1", 20, 1000), ("Flow1", 30, 200),
-        ("Flow2", 10, 2000), ("Flow2", 20, 2000), ("Flow2", 30, 400),
-        ("Flow3", 10, 3000), ("Flow3", 20, 3000), ("Flow3", 30, 3000),
-        ("Flow4", 10, 3200), ("Flow4", 20, 4000), ("Flow4", 30, 2800),
-        ("Flow5", 20, 2000),
+        ("app-a", 10, 300), ("app-a", 20, 1000), ("app-a", 30, 200),
+        ("app-b", 10, 2000), ("app-b", 20, 2000), ("app-b", 30, 400),
+        ("app-c", 10, 3000), ("app-c", 20, 3000), ("app-c", 30, 3000),
+        ("app-d", 10, 3200), ("app-d", 20, 4000), ("app-d", 30, 2800),
+        ("app-e", 20, 2000),
     ]
 
 
 def test_host_names_and_all_shapes(spark):
     s = window_start(99, 60_000, T0)
     given = [
-        flow(s, s + 100, 42, src_hostname="first.src.example.com",
-             dst_hostname="second.dst.example.com"),
+        flow(s, s + 100, 42, src_hostname="alder.lan",
+             dst_hostname="birch.lan"),
         flow(s + 1000, s + 1100, 23, src_address="10.0.0.2", dst_address="10.0.0.3",
-             src_hostname="second.src.example.com"),
+             src_hostname="cedar.lan"),
         flow(s + 2000, s + 2100, 1337, dst_address="10.0.0.3",
-             dst_hostname="third.dst.example.com"),
+             dst_hostname="dogwood.lan"),
     ]
     found = build_summaries(flows(spark, given)).cache()
     assert found.count() == 16
     assert found.filter("bytes_egress <> 0 or congestion_encountered or not non_ect").count() == 0
     hosts = [
-        ("10.0.0.1", "first.src.example.com", 1379),
-        ("10.0.0.2", "second.dst.example.com", 65),
-        ("10.0.0.3", "third.dst.example.com", 1360),
+        ("10.0.0.1", "alder.lan", 1379),
+        ("10.0.0.2", "birch.lan", 65),
+        ("10.0.0.3", "dogwood.lan", 1360),
     ]
     talks = [
-        ('["",6,"10.0.0.1","10.0.0.2","SomeApplication"]', 42),
-        ('["",6,"10.0.0.1","10.0.0.3","SomeApplication"]', 1337),
-        ('["",6,"10.0.0.2","10.0.0.3","SomeApplication"]', 23),
+        ('["",6,"10.0.0.1","10.0.0.2","mail"]', 42),
+        ('["",6,"10.0.0.1","10.0.0.3","mail"]', 1337),
+        ('["",6,"10.0.0.2","10.0.0.3","mail"]', 23),
     ]
     for shape in (G.HOST, G.TOS_HOST):
         rows = found.filter(F.col("grouped_by") == shape)
@@ -79,7 +79,7 @@ def test_host_names_and_all_shapes(spark):
         rows = found.filter(F.col("grouped_by") == shape)
         assert collected(rows, "bytes_total") == [(1402,)]
     keys = collected(found.filter(F.col("grouped_by") == G.TOS_APPLICATION), "grouped_by_key")
-    assert keys == [("SomeFs:SomeFid-98-0-SomeApplication",)]
+    assert keys == [("plant:edge-7-98-0-mail",)]
     found.unpersist()
 
 
