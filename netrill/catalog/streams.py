@@ -23,7 +23,7 @@ from netrill.plans.summaries import summaries_of_rows
 from netrill.schema import SUMMARY_COLUMNS
 from netrill.session import shared_folder
 from netrill.sources import kafka, protobuf, tables
-from netrill.streaming import panes, quarantine, replay, series, sinks, timed, windows
+from netrill.streaming import counters, panes, quarantine, replay, series, sinks, timed, windows
 
 
 
@@ -218,6 +218,42 @@ def stream_upsert(spark, sf_dir):
     return windows.current_summaries(spark, folder)
 
 
+_COUNTED = " union all ".join(
+    f"select {n} as part, (select count(*) from flows where {part}) as flows_read,"
+    f" (select count(*) from win where {part}) as in_window,"
+    f" (select count(*) from flows where node_id is null and ({part})) as missing_exporter,"
+    f" (select count(*) from shifted where node_id is not null and ds >= shift and ls < ds and ({part}))"
+    " as end_before_start,"
+    f" (select max(last_switched) from flows where {part}) as newest_switched"
+    for n, part in enumerate(PARTS)
+)
+
+
+@register("stream_counters", _COUNTED)
+def stream_counters(spark, sf_dir):
+    """Counters that a running stream reports, by the part of the input that it ran for."""
+    folder, runs = shared_folder(spark, "counters"), []
+
+    def begin(stream: DataFrame):
+        write = _parquet_writer(f"{folder}/out", spark)
+        runs.append(windows.start_final(stream, OPTIONS, f"{folder}/checkpoint", write))
+        return runs[-1]
+
+    with counters.StreamCounters().of(spark) as found:
+        replay.replay(tables.flows(spark, sf_dir), PARTS, folder, begin)
+        for query in runs:
+            found.wait(query)
+        batches = found.table(spark)
+    order = F.create_map(*[F.lit(x) for n, query in enumerate(runs) for x in (str(query.runId), n)])
+    sums = ["flows_read", "in_window", "missing_exporter", "end_before_start"]
+    return (
+        batches.withColumn("part", order[F.col("run")])
+        .where("part is not null")
+        .groupBy("part")
+        .agg(*[F.sum(name).alias(name) for name in sums], F.max("newest_switched").alias("newest_switched"))
+    )
+
+
 def _pane_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """DSCP totals in two panes per window, written and read as a stream."""
     flows = tables.flows(spark, sf_dir)

@@ -267,7 +267,8 @@ def all_summaries(spark, sf_dir):
 
 @register("totals_only", "select * from summaries where aggregation_type = 'TOTAL'")
 def totals_only(spark, sf_dir):
-    return reports.totals_only(_summaries(spark, sf_dir))
+    # Shapes that aren't totals are not summed in the first place.
+    return reports.totals_only(_summaries(spark, sf_dir, G.INTERFACE, G.TOS))
 
 
 @register(

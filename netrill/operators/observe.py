@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from netrill.config import FlowOptions
 from netrill.operators import windowing
@@ -14,36 +10,46 @@ from netrill.plans import groupings as G
 from netrill.schema import EXPORTER_COLUMNS
 
 
+#: Name of the metrics that a running stream reports with each batch.
+FLOW_COUNTERS = "flow_counters"
+
+
+def counter_columns(options: FlowOptions, live: Column | None = None) -> list[Column]:
+    """Counters as aggregates over prepared flows; only rows that are ``live`` count."""
+    live = F.lit(True) if live is None else live
+    first, final, kept_from = windowing._span(options)
+    reason = windowing.drop_reason(options)
+    zero = F.lit(0).cast("bigint")
+    rows = F.greatest(zero, final - kept_from + 1)
+    all_rows = F.greatest(zero, final - first + 1)
+    used = live & reason.isNull()
+
+    def count_of(name: str) -> Column:
+        return F.count_if(live & F.coalesce(reason == name, F.lit(False))).alias(name)
+
+    return [
+        F.count_if(live).alias("flows_read"),
+        F.coalesce(F.sum(F.when(used, rows)), zero).alias("in_window"),
+        F.coalesce(F.sum(F.when(used, all_rows - rows)), zero).alias(windowing.REACHES_BACK),
+        count_of(windowing.MISSING_EXPORTER),
+        count_of(windowing.START_BEFORE_SHIFT),
+        count_of(windowing.END_BEFORE_START),
+        F.max(F.when(live, F.col("last_switched"))).alias("newest_switched"),
+    ]
+
+
 def flow_counters(flows: DataFrame, options: FlowOptions) -> DataFrame:
     """Flows read, window rows made, and why others were dropped, in one pass.
 
     ``newest_switched`` minus the current time is the input's drift.
     """
-    first, final, kept_from = windowing._span(options)
-    known = windowing.prepared(flows, options)
-    reason = windowing.drop_reason(options)
-    rows = F.greatest(F.lit(0).cast("bigint"), final - kept_from + 1)
-    all_rows = F.greatest(F.lit(0).cast("bigint"), final - first + 1)
-    marked = known.select(
-        F.col("last_switched"),
-        reason.alias("reason"),
-        F.when(reason.isNull(), rows).alias("rows"),
-        F.when(reason.isNull(), all_rows - rows).alias("lost_rows"),
-    )
+    return windowing.prepared(flows, options).agg(*counter_columns(options))
 
-    def count_of(name: str) -> F.Column:
-        return F.count_if(F.coalesce(F.col("reason") == name, F.lit(False)))
 
-    zero = F.lit(0).cast("bigint")
-    return marked.agg(
-        F.count("*").alias("flows_read"),
-        F.coalesce(F.sum("rows"), zero).alias("in_window"),
-        F.coalesce(F.sum("lost_rows"), zero).alias(windowing.REACHES_BACK),
-        count_of(windowing.MISSING_EXPORTER).alias(windowing.MISSING_EXPORTER),
-        count_of(windowing.START_BEFORE_SHIFT).alias(windowing.START_BEFORE_SHIFT),
-        count_of(windowing.END_BEFORE_START).alias(windowing.END_BEFORE_START),
-        F.max("last_switched").alias("newest_switched"),
-    )
+def observed(flows: DataFrame, options: FlowOptions, live: Column | None = None) -> DataFrame:
+    """The flows, which report their counters as they pass by."""
+    known = windowing.prepared(flows, options)
+    return known.observe(FLOW_COUNTERS, *counter_columns(options, live)).drop("shift")
 
 
 def sink_counters(batched_samples: DataFrame) -> DataFrame:
@@ -56,14 +62,9 @@ def sink_counters(batched_samples: DataFrame) -> DataFrame:
 
 
 def with_clock(rows: DataFrame) -> DataFrame:
-    """Add the wall-clock time at which each Arrow batch of rows passed by."""
-
-    def stamp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            now = pa.array([int(time.time() * 1000)] * batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([now], names=["clock_ms"])
-
-    return rows.select("bytes_in", "bytes_out").mapInArrow(stamp, "clock_ms bigint")
+    """Add the wall-clock time at which each row passed by."""
+    clock = F.reflect(F.lit("java.lang.System"), F.lit("currentTimeMillis")).cast("bigint")
+    return rows.select("bytes_in", "bytes_out", clock.alias("clock_ms"))
 
 
 def throughput(rows: DataFrame, clock_ms: str) -> DataFrame:

@@ -4,6 +4,10 @@
 batch that runs again replaces exactly its own folders. Readers list only the
 slots they need, so old slots cost nothing and may be deleted at any time
 after the allowed lateness.
+
+The same folders also hold versions: there ``slot=S/batch=N`` is all of a slot as it is after
+batch N. The newest version is the slot; the one before it is kept for a batch that runs
+again and for readers on their way, older ones are removed.
 """
 
 from __future__ import annotations
@@ -13,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 SLOT_MS = 10 * 60_000
 
 
-def write_slots(rows: DataFrame, path: str, batch_id: int) -> None:
-    slot = F.call_function("div", F.col("window_end"), F.lit(SLOT_MS))
+def write_slots(rows: DataFrame, path: str, batch_id: int, time: str = "window_end") -> None:
+    slot = F.call_function("div", F.col(time), F.lit(SLOT_MS))
     batch = F.lit(batch_id).cast("bigint")
     (
         rows.withColumn("slot", slot)
@@ -26,14 +30,48 @@ def write_slots(rows: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def _slots(spark: SparkSession, path: str) -> list[int]:
-    """The slots there are, from the names of the top folders."""
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The slots or batches there are, from the names of folders."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(folder):
         return []
     names = [entry.getPath().getName() for entry in system.listStatus(folder)]
-    return [int(name.removeprefix("slot=")) for name in names if name.startswith("slot=")]
+    return [int(name.removeprefix(f"{kind}=")) for name in names if name.startswith(f"{kind}=")]
+
+
+def _slots(spark: SparkSession, path: str) -> list[int]:
+    return _numbers(spark, path, "slot")
+
+
+def written_slots(spark: SparkSession, path: str, batch_id: int) -> list[int]:
+    """The slots that a batch has written."""
+    return [slot for slot in _slots(spark, path) if batch_id in _numbers(spark, f"{path}/slot={slot}", "batch")]
+
+
+def newest(spark: SparkSession, path: str, slots: list[int] | None = None, before: int | None = None) -> dict[int, int]:
+    """The last version of each slot, or the last one before a batch."""
+    found = {}
+    for slot in _slots(spark, path) if slots is None else slots:
+        batches = [n for n in _numbers(spark, f"{path}/slot={slot}", "batch") if before is None or n < before]
+        if batches:
+            found[slot] = max(batches)
+    return found
+
+
+def read_versions(spark: SparkSession, schema: T.StructType, path: str, versions: dict[int, int]) -> DataFrame:
+    """Rows of the given version of each slot, without slot and batch."""
+    wanted = [f"{path}/slot={slot}/batch={batch}" for slot, batch in sorted(versions.items())]
+    return spark.read.schema(schema).parquet(*wanted) if wanted else spark.createDataFrame([], schema)
+
+
+def remove_before(spark: SparkSession, path: str, versions: dict[int, int]) -> None:
+    """Remove what is older than the given version of a slot."""
+    for slot, kept in versions.items():
+        for batch in _numbers(spark, f"{path}/slot={slot}", "batch"):
+            if batch < kept:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/slot={slot}/batch={batch}")
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_slots(

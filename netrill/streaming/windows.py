@@ -16,16 +16,17 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
+from netrill.operators import observe
 from netrill.operators.aggregate import merged_names, merged_values
 from netrill.operators.windowing import window_rows
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
 from netrill.streaming.sinks import fan_out
-from netrill.streaming.slots import read_slots, write_slots
+from netrill.streaming.slots import newest, read_versions, remove_before, write_slots, written_slots
 
 # Recommended for streams: state on disk, with changes only per checkpoint.
 STATE_SETTINGS = {
@@ -84,7 +85,9 @@ def without_closing(rows: DataFrame, event_time: str) -> DataFrame:
 def stream_rows(flows: DataFrame, options: FlowOptions, policy: Policy = window_end_or_now) -> DataFrame:
     """Window rows of a stream, with watermark."""
     keep = [CLOSING] if CLOSING in flows.columns else []
-    return without_closing(watermarked(window_rows(flows, options, keep), options, policy), "closes_at")
+    live = ~F.coalesce(F.col(CLOSING), F.lit(False)) if keep else F.lit(True)
+    rows = window_rows(observe.observed(flows, options, live), options, keep)
+    return without_closing(watermarked(rows, options, policy), "closes_at")
 
 
 def leaf_state(rows: DataFrame) -> DataFrame:
@@ -135,44 +138,61 @@ def start_upsert(
 
 
 TOUCHED = ["window_start", "node_id", "if_index"]
+REBUILT = ["range_start", "node_id", "if_index"]
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equal keys, missing ones included; the right side's are TOUCHED."""
+    found = F.lit(True)
+    for name, other in zip(names, TOUCHED, strict=True):
+        found = found & left[name].eqNullSafe(right[other])
+    return found
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, path: str, options: FlowOptions) -> None:
     """Store the changed leaf rows, then rebuild the interfaces they touch.
 
-    A batch that runs again replaces what it wrote and reads only what batches
-    up to itself brought.
+    Leaf rows and summaries are kept as one current version per time slot. A batch reads the
+    versions of the slots it touches and writes them anew, so what it reads does not grow with
+    the batches before it. A batch that runs again starts from the versions before its own.
     """
     spark = batch.sparkSession
-    leaf_path, out_path = os.path.join(path, "leaf"), os.path.join(path, "summaries")
+    changed_path, leaf_path, out_path = (os.path.join(path, name) for name in ("changed", "leaf", "summaries"))
     schema = T.StructType.fromJson(batch.schema.jsonValue())
-    span = Observation()
-    ends = [F.min("window_end").alias("first"), F.max("window_end").alias("last")]
-    write_slots(batch.observe(span, *ends), leaf_path, batch_id)
-    first, last = span.get["first"], span.get["last"]
-    if first is None:
+    write_slots(batch, changed_path, batch_id)
+    slots = written_slots(spark, changed_path, batch_id)
+    if not slots:
         return
-    stored = read_slots(spark, schema, leaf_path, first, last, batch_id)
-    touched = stored.filter(F.col("batch") == batch_id).select(*TOUCHED).distinct()
+    own = dict.fromkeys(slots, batch_id)
+    changed = read_versions(spark, schema, changed_path, own)
+    earlier = newest(spark, leaf_path, slots, batch_id)
+    stored = read_versions(spark, schema, leaf_path, earlier).withColumn("new", F.lit(0))
     values = [name for name in batch.columns if name not in KEY_COLUMNS]
-    newest = F.max_by(F.struct(*values), "batch").alias("newest")
     current = (
-        stored.join(touched, TOUCHED, "left_semi")
+        stored.unionByName(changed.withColumn("new", F.lit(1)))
         .groupBy(*KEY_COLUMNS)
-        .agg(newest)
+        .agg(F.max_by(F.struct(*values), "new").alias("newest"))
         .select(*KEY_COLUMNS, "newest.*")
     )
-    summaries_of_rows(current, options).write.mode("overwrite").parquet(
-        os.path.join(out_path, f"batch={batch_id}")
-    )
+    write_slots(current, leaf_path, batch_id)
+    touched = changed.select(*TOUCHED).distinct()
+    leaf = read_versions(spark, schema, leaf_path, own)
+    rebuilt = summaries_of_rows(leaf.join(touched, _same(leaf, touched, TOUCHED), "left_semi"), options)
+    kept = newest(spark, out_path, slots, batch_id)
+    others = read_versions(spark, rebuilt.schema, out_path, kept)
+    others = others.join(touched, _same(others, touched, REBUILT), "left_anti")
+    write_slots(rebuilt.unionByName(others), out_path, batch_id, "range_end")
+    # The versions this batch started from stay until the next one has written its own.
+    remove_before(spark, leaf_path, earlier)
+    remove_before(spark, out_path, kept)
+    remove_before(spark, changed_path, own)
 
 
 def current_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """Per interface and window the summaries of the last batch that built it."""
-    stored = spark.read.parquet(os.path.join(path, "summaries"))
-    keys = ["range_start", "node_id", "if_index"]
-    last = stored.groupBy(*keys).agg(F.max("batch").alias("batch"))
-    return stored.join(last, [*keys, "batch"], "left_semi").drop("batch")
+    """The summaries of the newest version of each slot."""
+    stored = os.path.join(path, "summaries")
+    versions = newest(spark, stored)
+    return spark.read.parquet(*[f"{stored}/slot={slot}/batch={batch}" for slot, batch in sorted(versions.items())])
 
 
 CLOSING_ROWS = "closing"
