@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netrill.llm.common import table, written
+from netrill.llm.common import discarded, table, written
+from netrill.session import shared_folder
 
 #: The end token is no word: words hold no blank.
 END = b" "
@@ -53,6 +54,8 @@ PARTS = 256
 KEEP_WORDS, KEEP_HASHES = 300_000, 300_000
 #: Tokens after which a block of texts ends.
 BLOCK_TOKENS = 500_000
+#: Characters of texts after which a row of a block ends.
+ROW_CHARS = 4_000_000
 MOST_LEVELS = 40
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -107,6 +110,18 @@ def pairs_of(codes: np.ndarray, sizes: list[int]) -> np.ndarray:
     return pair_codes(before, codes)
 
 
+def thin(codes: np.ndarray) -> bytes:
+    """Ascending 32-bit codes as differences, byte plane by byte plane: the upper planes compress to nothing."""
+    steps = np.diff(codes.astype(np.uint32), prepend=np.uint32(0))
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def full(data: bytes) -> np.ndarray:
+    """The codes that `thin` has written."""
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T)
+    return np.cumsum(steps.view(np.uint32).ravel(), dtype=np.uint32)
+
+
 def packed(codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
     """(part, codes, counts) of each part of the hash space; codes ascend."""
     edges = np.searchsorted(codes >> np.uint64(56), np.arange(PARTS + 1, dtype=np.uint64))
@@ -114,7 +129,7 @@ def packed(codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes,
         low, high = edges[part], edges[part + 1]
         if low < high:
             # 40 bits of a code: 8 choose the part, 32 are kept.
-            yield part, (codes[low:high] >> np.uint64(24)).astype(np.uint32).tobytes(), counts[low:high].tobytes()
+            yield part, thin((codes[low:high] >> np.uint64(24)).astype(np.uint32)), counts[low:high].tobytes()
 
 
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,14 +196,25 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sum the packed counts of a part; give the codes worth an entry with their levels."""
-    part, codes, counts = None, np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    """Sum the packed counts of a part; give the codes worth an entry with their levels.
+
+    What comes waits until it is as much as what is there, so each code is sorted a few times only.
+    """
+    part, size = None, 0
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def joined() -> None:
+        nonlocal size
+        waiting[:] = [summed(*map(np.concatenate, zip(*waiting, strict=True)))]
+        size = len(waiting[0][0])
 
     def ended() -> pd.DataFrame:
+        joined()
+        codes, counts = waiting.pop()
         keep = counts >= LEAST_COUNT
         levels = (np.floor(np.log2(counts[keep])) + 1).astype(np.uint8)
         return pd.DataFrame(
-            {"part": [part], "codes": [codes[keep].tobytes()], "levels": [levels.tobytes()], "n": [int(levels.sum())]}
+            {"part": [part], "codes": [thin(codes[keep])], "levels": [levels.tobytes()], "n": [int(levels.sum())]}
         )
 
     for frame in frames:
@@ -196,11 +222,10 @@ def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if number != part:
                 if part is not None:
                     yield ended()
-                part, codes, counts = number, np.zeros(0, np.uint32), np.zeros(0, np.int64)
-            codes, counts = summed(
-                np.concatenate([codes, np.frombuffer(more, np.uint32)]),
-                np.concatenate([counts, np.frombuffer(times, np.uint32).astype(np.int64)]),
-            )
+                part, size = number, 0
+            waiting.append((full(more), np.frombuffer(times, np.uint32).astype(np.int64)))
+            if sum(len(codes) for codes, _ in waiting[1:]) >= max(size, len(waiting[0][0])):
+                joined()
     if part is not None:
         yield ended()
 
@@ -220,7 +245,7 @@ def _segments(bits: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part, raw, levels in zip(frame["part"], frame["codes"], frame["levels"], strict=True):
-                codes, levels = np.frombuffer(raw, np.uint32), np.frombuffer(levels, np.uint8)
+                codes, levels = full(raw), np.frombuffer(levels, np.uint8)
                 bitmap = np.zeros(bits, np.bool_)
                 for level in range(1, int(levels.max(initial=0)) + 1):
                     own = codes[levels >= level]
@@ -290,6 +315,13 @@ class Model:
         return np.log10((both + WEIGHT * alone) / (before + WEIGHT))
 
 
+def _stored(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A written table, and its folder for when nothing reads it any more."""
+    path = shared_folder(frame.sparkSession, name)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.parquet(path), path
+
+
 def learned(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame | None, int]:
     """The model of `docs` (text) and the written exact counts (word, n) of all its tokens.
 
@@ -297,22 +329,25 @@ def learned(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame | None, int]:
     the bits of a segment.
     """
     spark = docs.sparkSession
-    rows = written(docs.select("text").mapInArrow(_counter, COUNTS), "lm-partial")
+    rows, partial = _stored(docs.select("text").mapInArrow(_counter, COUNTS), "lm-partial")
     words = rows.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
     words = written(words, "lm-words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = words.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toPandas()
     parts = rows.where("part is not null").select("part", "codes", "counts")
     parts = parts.repartition(PARTS, "part").sortWithinPartitions("part")
-    merged = written(
+    merged, levels = _stored(
         parts.mapInPandas(_merge, "part int, codes binary, levels binary, n bigint"), "lm-levels"
     )
+    discarded(spark, partial)
     largest = merged.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     bits = max(64, -(-int(largest) * ENTRY_BITS // 64) * 64)
     segments = merged.mapInPandas(_segments(bits), "part int, bits binary")
     counts = dict(zip(map(bytes, head["word"]), map(int, head["n"]), strict=True))
     if bits * PARTS > MOST_BITS:
-        return Model(None, counts, int(total), int(distinct)), words, written(segments, "lm-segments"), bits
+        segments = written(segments, "lm-segments")
+        discarded(spark, levels)
+        return Model(None, counts, int(total), int(distinct)), words, segments, bits
     data = np.zeros(PARTS * bits // 8, np.uint8)
     # PARTS rows of `bits` bits: at most MOST_BITS together.
     for part, segment in segments.toLocalIterator():
@@ -381,11 +416,18 @@ def _scorer(shared):
     return run
 
 
-#: Rows of a block: codes by part (then their levels, in the same order), or a text (`part` null).
-BLOCKS = "block bigint, part int, data binary, doc_id bigint, text string"
-_BLOCKS = pa.schema(
-    [("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("text", pa.string())]
-)
+#: Rows of a block: codes by part (then their levels, in the same order), or some texts (`part` null).
+BLOCKS = "block bigint, part int, data binary"
+_BLOCKS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+_TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+
+
+def _texts_row(ids: list, texts: list) -> bytes:
+    """Some texts as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], schema=_TEXTS))
+    return sink.getvalue().to_pybytes()
 
 
 def block_codes(texts: list[list[bytes]], codes_of: Codes) -> np.ndarray:
@@ -404,38 +446,27 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     texts: list[list[bytes]] = []
     block, size = uuid.uuid4().int >> 65, 0
 
+    def row(part: list, data: list) -> pa.RecordBatch:
+        columns = [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.int32()), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, schema=_BLOCKS)
+
     def ended() -> pa.RecordBatch:
         codes = block_codes(texts, codes_of)
         rows = [row[:2] for row in packed(codes, np.zeros(len(codes), np.uint8))]
-        n = len(rows)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * n, pa.int64()),
-                pa.array([row[0] for row in rows], pa.int32()),
-                pa.array([row[1] for row in rows], pa.binary()),
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.string()),
-            ],
-            schema=_BLOCKS,
-        )
+        return row([row[0] for row in rows], [row[1] for row in rows])
 
     for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            part = batch.slice(begin, 256)
-            n = part.num_rows
-            texts += map(tokens_of, raw := part.column("text").to_pylist())
-            size += sum(map(len, texts[-n:]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block] * n, pa.int64()),
-                    pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.binary()),
-                    part.column("doc_id").cast(pa.int64()),
-                    pa.array(raw, pa.string()),
-                ],
-                schema=_BLOCKS,
-            )
-            if size >= BLOCK_TOKENS:
+        ids, raw = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+        begin, held = 0, 0
+        for at, text in enumerate(raw):
+            texts.append(tokens_of(text))
+            size += len(texts[-1])
+            held += len(text or "")
+            whole = size >= BLOCK_TOKENS
+            if whole or held >= ROW_CHARS or at + 1 == len(raw):
+                yield row([None], [_texts_row(ids[begin : at + 1], raw[begin : at + 1])])
+                begin, held = at + 1, 0
+            if whole:
                 yield ended()
                 texts, size, block = [], 0, uuid.uuid4().int >> 65
     if texts:
@@ -454,20 +485,12 @@ def _look_up(bits: int):
                     filter_, at = Filter(bits, np.frombuffer(data.as_py(), np.uint8)), part
                     found.append(None)
                     continue
-                codes = np.frombuffer(data.as_py(), np.uint32)
+                codes = full(data.as_py())
                 # With no training texts a part has no segment.
                 levels = filter_.levels(np.zeros(len(codes), np.uint64), codes) if part == at else np.zeros(len(codes))
                 found.append(levels.astype(np.uint8).tobytes())
-            n = batch.num_rows
             out = pa.RecordBatch.from_arrays(
-                [
-                    batch.column("block"),
-                    batch.column("part"),
-                    pa.array(found, pa.binary()),
-                    pa.nulls(n, pa.int64()),
-                    pa.nulls(n, pa.string()),
-                ],
-                schema=_BLOCKS,
+                [batch.column("block"), batch.column("part"), pa.array(found, pa.binary())], schema=_BLOCKS
             )
             yield out.filter(out.column("block").is_valid())
 
@@ -488,15 +511,16 @@ def _block_scorer(shared):
             yield from _scores(Model(own, model.head, model.total, model.distinct), codes_of, ids, texts)
 
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("block", "part", "data", "doc_id", "text")]
-            for block, part, data, doc_id, text in zip(*columns, strict=True):
+            columns = [batch.column(name).to_pylist() for name in ("block", "part", "data")]
+            for block, part, data in zip(*columns, strict=True):
                 if block != at:
                     if at is not None:
                         yield from ended()
                     at, levels, ids, texts = block, [], [], []
                 if part is None:
-                    ids.append(doc_id)
-                    texts.append(text)
+                    some = pa.ipc.open_stream(data).read_all()
+                    ids += some.column("doc_id").to_pylist()
+                    texts += some.column("text").to_pylist()
                 else:
                     levels.append(data)
         if at is not None:
@@ -506,16 +530,17 @@ def _block_scorer(shared):
 
 
 def _block_scores(docs: DataFrame, shared, segments: DataFrame, bits: int) -> DataFrame:
-    """Scored rows of `docs` (doc_id, text) by levels read where the filter's segments are."""
-    rows = written(docs.mapInArrow(_blocks, BLOCKS), "lm-blocks")
+    """Scored rows of `docs` (doc_id, text), written, by levels read where the filter's segments are."""
+    rows, path = _stored(docs.mapInArrow(_blocks, BLOCKS), "lm-blocks")
     nothing = F.lit(None).cast("bigint").alias("block")
-    codes = segments.select(nothing, "part", F.col("bits").alias("data")).unionByName(
-        rows.where("part is not null").select("block", "part", "data")
-    )
+    codes = segments.select(nothing, "part", F.col("bits").alias("data")).unionByName(rows.where("part is not null"))
     codes = codes.repartition(PARTS, "part").sortWithinPartitions("part", F.asc_nulls_first("block"))
     levels = codes.mapInArrow(_look_up(bits), BLOCKS)
     blocks = rows.where("part is null").unionByName(levels).repartition("block")
-    return blocks.sortWithinPartitions("block", F.asc_nulls_last("part")).mapInArrow(_block_scorer(shared), SCORED)
+    blocks = blocks.sortWithinPartitions("block", F.asc_nulls_last("part"))
+    out = written(blocks.mapInArrow(_block_scorer(shared), SCORED), "lm-scores")
+    discarded(docs.sparkSession, path)
+    return out
 
 
 def scored(docs: DataFrame, train: DataFrame) -> DataFrame:
@@ -525,10 +550,9 @@ def scored(docs: DataFrame, train: DataFrame) -> DataFrame:
     floor = model.floor or 0.5
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if segments is None:
-        rows = slim.mapInArrow(_scorer(shared), SCORED)
+        rows = written(slim.mapInArrow(_scorer(shared), SCORED), "lm-scores")
     else:
         rows = _block_scores(slim, shared, segments, bits)
-    rows = written(rows, "lm-scores")
     rare = rows.select("row_key", F.explode(F.arrays_zip("rare", "rare_times")).alias("one"))
     rare = rare.select("row_key", F.col("one.rare").alias("word"), F.col("one.rare_times").alias("times"))
     count = F.coalesce(F.col("n"), F.lit(0))
