@@ -6,7 +6,7 @@ substitutes. Seeds of test items and documents are joined, and around each hit t
 aligned words are compared one by one: of the item's words up to `MARGIN` before and
 after the window, three in four must be equal in place. All of it is built-in
 functions; documents are read once and never shuffled while the seeds of the benchmark
-stay below `BROADCAST_ROWS`.
+stay below `BROADCAST_BYTES`.
 
 Edge cases: null or empty texts have no words and no hits; items of fewer than eight
 words have no seed and match nothing; a null doc_id or item_id is a value like others;
@@ -27,8 +27,8 @@ MASKS = ("10111011", "11011101", "11100111", "11011011")
 MARGIN = 4
 #: Least share of equal words around a hit, in hundredths.
 SIMILAR = 75
-#: Seeds of the benchmark up to this many rows (about 100 bytes each) go to every executor.
-BROADCAST_ROWS = 300_000
+#: Seeds of the benchmark, each with its item's words, of up to so many bytes together go to every executor.
+BROADCAST_BYTES = 32 << 20
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -76,6 +76,14 @@ def _verified(hits: DataFrame) -> DataFrame:
     )
 
 
+def _seed_bytes(tests: DataFrame) -> float:
+    """Size of all seed rows: about 100 bytes and eight for each word of the item, for each window and mask."""
+    words = F.size("item_codes").cast("double")
+    windows = F.greatest(words - (SPAN - 1), F.lit(0.0))
+    name = F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    return tests.agg(F.sum(len(MASKS) * windows * (100 + 8 * words + name))).first()[0] or 0
+
+
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Verified hits: row (struct of doc_id and the text's hash), item_id, at, item_at, n_equal, n_compared."""
     text = text_or_empty()
@@ -84,7 +92,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     tests = held(items.select("item_id", "text"), item_codes=_codes(text)).select("item_id", "item_codes")
     seeds = _seeds(tests.withColumn("codes", F.col("item_codes")), "item_at").drop("codes")
-    if seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if _seed_bytes(tests) <= BROADCAST_BYTES:
         hits = _seeds(rows, "at").join(F.broadcast(seeds), "seed")
         return _verified(hits)
     # Beyond the bound only seeds are shuffled, against distinct test seeds; words follow for hits alone.

@@ -22,7 +22,7 @@ def items(spark):
 
 @pytest.mark.parametrize("bound", [300_000, 0])
 def test_decontamination(docs_of, items, monkeypatch, bound):
-    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", bound)
     rng = random.Random(3)
     passage = items.first()["text"].split()
     near = list(passage)
