@@ -4,10 +4,10 @@ import random
 
 import pyarrow as pa
 import pytest
-from helpers import flow, flows
+from helpers import flow
+from netrill.config import FlowOptions
 from netrill.schema import FLOW_SCHEMA
 from netrill.sources import kafka, protobuf
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
@@ -69,3 +69,12 @@ def test_numbers_below_zero_are_refused():
     batch = pa.RecordBatch.from_pylist([flow(0, 9, -5)], to_arrow_schema(FLOW_SCHEMA))
     with pytest.raises(ValueError, match="out of range"):
         list(protobuf._encode(iter([batch])))
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().analyzed().toString()
+
+
+def test_message_stream_is_decoded_by_columns(spark, tmp_path):
+    stream = kafka.flow_stream(spark, FlowOptions(), str(tmp_path))
+    assert stream.isStreaming and _plan(stream).count("MapInArrow") == 1
