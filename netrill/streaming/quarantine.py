@@ -29,23 +29,15 @@ def left_out(decoded: DataFrame, options: FlowOptions) -> DataFrame:
     Of a malformed message the payload is kept, of a flow its record. A flow that loses only
     its first windows is in the sums with the others; ``dropped_windows`` says how many it lost.
     """
-    blank = F.lit(None)
-    kind = FLOW_SCHEMA.simpleString()
-    malformed = protobuf.rejected(decoded).select(
-        F.lit(MALFORMED).alias("reason"),
+    read = F.col("decode_error").isNull()
+    # One pass: a malformed message is a record without an exporter here.
+    return windowing.quarantine(decoded, options).select(
+        F.when(read, F.col("reason")).otherwise(F.lit(MALFORMED)).alias("reason"),
         F.col("decode_error").alias("detail"),
-        "payload",
-        blank.cast(kind).alias("flow"),
-        blank.cast("bigint").alias("dropped_windows"),
+        F.col("payload"),
+        F.when(read, F.struct(*FLOW_SCHEMA.names)).cast(FLOW_SCHEMA.simpleString()).alias("flow"),
+        F.when(read, F.col("dropped_windows")).cast("bigint").alias("dropped_windows"),
     )
-    dropped = windowing.quarantine(protobuf.accepted(decoded), options).select(
-        "reason",
-        blank.cast("string").alias("detail"),
-        blank.cast("binary").alias("payload"),
-        F.struct(*FLOW_SCHEMA.names).cast(kind).alias("flow"),
-        F.col("dropped_windows").cast("bigint").alias("dropped_windows"),
-    )
-    return malformed.unionByName(dropped)
 
 
 def start_quarantine(
@@ -54,14 +46,9 @@ def start_quarantine(
     """Keep what is left out of a message stream below ``path``, by reason."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One pass over the batch's messages decodes them for both kinds.
-        decoded = protobuf.decode_flows(batch).persist()
-        try:
-            found = left_out(decoded, options)
-            target = os.path.join(path, f"batch={batch_id}")
-            found.write.mode("overwrite").partitionBy("reason").parquet(target)
-        finally:
-            decoded.unpersist()
+        found = left_out(protobuf.decode_flows(batch), options)
+        target = os.path.join(path, f"batch={batch_id}")
+        found.write.mode("overwrite").partitionBy("reason").parquet(target)
 
     return start(messages.select("value"), "append", write, checkpoint, once)
 

@@ -8,6 +8,7 @@ from helpers import flow
 from netrill.config import FlowOptions
 from netrill.schema import FLOW_SCHEMA
 from netrill.sources import kafka, protobuf
+from netrill.streaming import quarantine
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
@@ -78,3 +79,13 @@ def _plan(frame):
 def test_message_stream_is_decoded_by_columns(spark, tmp_path):
     stream = kafka.flow_stream(spark, FlowOptions(), str(tmp_path))
     assert stream.isStreaming and _plan(stream).count("MapInArrow") == 1
+
+
+def test_quarantine_decodes_once_and_keeps_nothing_in_memory(spark):
+    messages = spark.createDataFrame([(bytearray(b"\xff"),), (bytearray(_encoded()[2]),)], "value binary")
+    left = quarantine.left_out(protobuf.decode_flows(messages), FlowOptions())
+    assert _plan(left).count("MapInArrow") == 1
+    assert sorted((r.reason, r.payload is None, r.flow is None) for r in left.collect()) == [
+        ("malformed", False, True),
+        ("missing_exporter", True, False),
+    ]
