@@ -262,7 +262,9 @@ _DOCUMENT_SQL = (
 def sink_search_docs(spark, sf_dir):
     """Written twice, as after a failure: the second run replaces the first."""
     path = shared_folder(spark, "documents")
-    summaries = build_summaries(tables.flows(spark, sf_dir), OPTIONS)
+    made = shared_folder(spark, "summaries")
+    build_summaries(tables.flows(spark, sf_dir), OPTIONS).write.parquet(made)
+    summaries = spark.read.parquet(made)
     for _ in range(2):
         writers.write_documents(summaries, path, OPTIONS)
     return writers.read_documents(spark, path)
