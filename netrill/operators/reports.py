@@ -78,16 +78,20 @@ def with_other(summaries: DataFrame, shape: str) -> DataFrame:
     is_total = F.col("grouped_by") == parent
 
     def signed(name: str) -> Column:
-        amount = F.when(is_total, F.col(name)).otherwise(-F.col(name))
-        return F.sum(amount).alias(name)
+        return F.sum(F.when(is_total, F.col(name)).otherwise(-F.col(name)))
 
     measures = ["bytes_ingress", "bytes_egress", "bytes_total"]
-    other = rows.groupBy(*keys).agg(*[signed(name) for name in measures])
-    listed = summaries.filter(F.col("grouped_by") == shape)
-    columns = [*keys, F.col(item).alias("item"), *measures]
-    return listed.select(*columns, F.lit(False).alias("is_other")).unionByName(
-        other.select(*keys, F.lit("other").alias("item"), *measures, F.lit(True).alias("is_other"))
-    )
+    # One pass: every row knows what is left of its parent, and the parent's first row adds that.
+    parents = Window.partitionBy(*keys)
+    left = F.struct(*[signed(name).over(parents).alias(name) for name in measures])
+    number = F.row_number().over(parents.orderBy("grouped_by", item))
+    known = rows.select(*keys, F.col(item).alias("item"), *measures, is_total.alias("total"), left.alias("left"), number.alias("number"))
+    fields = ["item", *measures]
+    listed = F.struct(*fields, F.lit(False).alias("is_other"))
+    other = F.struct(F.lit("other").alias("item"), *[F.col("left")[name].alias(name) for name in measures], F.lit(True).alias("is_other"))
+    both = F.array(F.when(~F.col("total"), listed), F.when(F.col("number") == 1, other))
+    found = known.select(*keys, F.explode(both).alias("row")).where("row is not null")
+    return found.select(*keys, *[F.col("row")[name].alias(name) for name in [*fields, "is_other"]])
 
 
 def recent_summaries(summaries: DataFrame, shape: str, limit: int) -> DataFrame:
