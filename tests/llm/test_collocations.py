@@ -65,6 +65,17 @@ def test_like_brute_force(spark, monkeypatch, shards, slots):
         assert sorted(map(tuple, got)) == brute(rows, 6, top=top)
 
 
+def test_slots_marked_before_the_words_are_seen(spark, monkeypatch):
+    """Phrases of one late shard, whose pairs share slots with words of an early one, count in full."""
+    monkeypatch.setattr(collocations, "slots_for", lambda words: 128)
+    early = " . ".join(f"w{i}" for i in range(40))
+    late = " . ".join(" ".join(f"{x}{i}" for x in "abcde") for i in range(12))
+    rows = [("en", (early, early, "x", late)[i % 4]) for i in range(24)]
+    docs = spark.createDataFrame([(t, x) for x, t in rows], "text string, lang string").coalesce(1)
+    got = collocations.mine(docs, least=6).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 6)
+
+
 def test_nothing_and_long_texts(spark, odd, nothing):
     assert collocations.mine(nothing, least=1).collect() == []
     got = collocations.mine(odd, least=2).collect()
