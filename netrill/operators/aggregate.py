@@ -27,10 +27,27 @@ def merged_names(*names: str) -> list[Column]:
     return [F.min(name).alias(name) for name in names]
 
 
+def digest(columns: Sequence[str]) -> Column:
+    """A number that differs for nearly all different keys.
+
+    As the first of a key's columns it decides nearly every comparison of a sort, and Spark
+    compares a first column that is a number without reading the rows. The others still count.
+    """
+    return F.xxhash64(*columns)
+
+
+def merge_by(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Merge the rows of equal key. Names make it a sort, so the key's digest comes first."""
+    merged = rows.withColumn("digest", digest(keys)).groupBy("digest", *keys)
+    return merged.agg(*merged_values(), *merged_names(*names)).drop("digest")
+
+
 def sum_by(rows: DataFrame, columns: Sequence[str], names: Sequence[str] = ()) -> DataFrame:
     """Merge the rows of equal key and window."""
     keys = ["window_start", *columns]
-    return rows.groupBy(*keys).agg(*merged_values(), *merged_names(*names))
+    if names:
+        return merge_by(rows, keys, names)
+    return rows.groupBy(*keys).agg(*merged_values())
 
 
 def sum_shapes(

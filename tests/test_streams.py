@@ -172,3 +172,10 @@ def test_series_indexes_on_a_stream(spark, tmp_path):
     ]
     labelled = samples.to_samples(spark.read.parquet(out), MINUTE)
     assert labelled.count() == 8
+
+
+def test_leaf_rows_are_sorted_by_the_digest_of_their_key_first(spark):
+    leaf = windows.leaf_state(windows.stream_rows(flows(spark, ARRIVALS[0]), OPTIONS))
+    plan = leaf._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [digest#" in plan and "digest" not in leaf.columns
+    assert [(r.bytes_in, r.hostname) for r in leaf.collect()] == [(100, None)]
