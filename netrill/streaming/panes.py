@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from pyspark.sql.streaming import StreamingQuery
 
 from netrill.config import FlowOptions
-from netrill.operators.aggregate import merged_names, merged_values
+from netrill.operators.aggregate import merge_by
 from netrill.operators.windowing import window_rows
 from netrill.plans import groupings as G
 from netrill.plans.sums import KEY_COLUMNS
 from netrill.plans.summaries import summaries_of_rows
-from netrill.streaming.slots import read_slots, write_slots
+from netrill.streaming.slots import read_slots, slots_of_several, write_slots
 from netrill.streaming.windows import start
 
 EARLY, ON_TIME, LATE = "early", "on_time", "late"
@@ -35,7 +35,7 @@ LEAF = ["window_end", *KEY_COLUMNS]
 
 
 def _merged(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*LEAF).agg(*merged_values(), *merged_names("hostname", "hostname2"))
+    return merge_by(rows, LEAF, ["hostname", "hostname2"])
 
 
 def _progress(spark: SparkSession, path: str, batch_id: int) -> tuple[int, int]:
@@ -64,7 +64,21 @@ def _held(
     """Rows stored for windows that end after ``before``, at the latest ``until``."""
     stored = read_slots(spark, schema, os.path.join(path, "held"), before, until, batch_id)
     end = F.col("window_end")
-    return stored.filter((end > before) & (end <= until)).drop("slot")
+    return stored.filter((end > before) & (end <= until))
+
+
+def _held_merged(
+    spark: SparkSession, schema: T.StructType, path: str, before: int, until: int, batch_id: int
+) -> DataFrame:
+    """The same rows, one per window and key.
+
+    A batch's own rows are so from the start, and a window lies in one slot. So only the slots
+    that several batches have written are merged.
+    """
+    rows = _held(spark, schema, path, before, until, batch_id)
+    several = F.col("slot").isin(slots_of_several(spark, os.path.join(path, "held"), batch_id))
+    merged = _merged(rows.filter(several))
+    return merged.unionByName(rows.filter(~several).select(*merged.columns))
 
 
 def pane_batch(flows: DataFrame, batch_id: int, path: str, options: FlowOptions) -> None:
@@ -88,13 +102,13 @@ def pane_batch(flows: DataFrame, batch_id: int, path: str, options: FlowOptions)
     end = F.col("window_end")
     late = arrived.filter((end <= before) & (end + options.allowed_lateness_ms > before))
     if options.early_processing_delay_ms:
-        on_time = arrived.filter((end > before) & (end <= after))
+        on_time = arrived.filter((end > before) & (end <= after)).select(*schema.names)
         early = arrived.filter(end > after).withColumn("timing", F.lit(EARLY))
     else:
-        on_time = _held(spark, schema, path, before, after, batch_id)
+        on_time = _held_merged(spark, schema, path, before, after, batch_id)
         early = None
-    panes = _merged(on_time).withColumn("timing", F.lit(ON_TIME)).unionByName(
-        late.select(*_merged(late).columns).withColumn("timing", F.lit(LATE))
+    panes = on_time.withColumn("timing", F.lit(ON_TIME)).unionByName(
+        late.select(*schema.names).withColumn("timing", F.lit(LATE))
     )
     if early is not None:
         panes = panes.unionByName(early.select(*panes.columns))
@@ -111,8 +125,8 @@ def drain(spark: SparkSession, path: str, batch_id: int, options: FlowOptions) -
     schema = T.StructType(
         [f for f in spark.read.parquet(held_path).schema if f.name not in ("slot", "batch")]
     )
-    rows = _held(spark, schema, path, before, AFTER_ALL, batch_id)
-    _write(_merged(rows).withColumn("timing", F.lit(ON_TIME)), path, batch_id)
+    rows = _held_merged(spark, schema, path, before, AFTER_ALL, batch_id)
+    _write(rows.withColumn("timing", F.lit(ON_TIME)), path, batch_id)
     _note(spark, path, batch_id, AFTER_ALL, AFTER_ALL)
 
 

@@ -74,6 +74,16 @@ def remove_before(spark: SparkSession, path: str, versions: dict[int, int]) -> N
                 folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def slots_of_several(spark: SparkSession, path: str, until_batch: int) -> list[int]:
+    """The slots that more than one batch, up to the given one, has written."""
+    found = []
+    for slot in _slots(spark, path):
+        batches = [n for n in _numbers(spark, f"{path}/slot={slot}", "batch") if n <= until_batch]
+        if len(batches) > 1:
+            found.append(slot)
+    return found
+
+
 def read_slots(
     spark: SparkSession, schema: T.StructType, path: str, first_ms: int, last_ms: int, until_batch: int
 ) -> DataFrame:

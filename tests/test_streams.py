@@ -174,6 +174,25 @@ def test_series_indexes_on_a_stream(spark, tmp_path):
     assert labelled.count() == 8
 
 
+def test_only_slots_of_several_batches_are_merged_again(spark, tmp_path, monkeypatch):
+    """A batch's rows are one per window and key already; only further batches add to them."""
+    folder, seen, merge = str(tmp_path), [], panes._merged
+    for number, records in enumerate([ARRIVALS[0], ARRIVALS[1], ARRIVALS[3]]):
+        panes.pane_batch(flows(spark, records), number, folder, OPTIONS)
+
+    def counted(rows):
+        seen.append(rows.count())
+        return merge(rows)
+
+    monkeypatch.setattr(panes, "_merged", counted)
+    panes.drain(spark, folder, 3, OPTIONS)
+    assert not any(seen)
+    found = panes.read_panes(spark, folder).select("window_start", "bytes_in", "timing")
+    assert sorted(map(tuple, found.collect())) == [
+        (S, 203, "on_time"), (S + 20 * MINUTE, 109, "on_time"),
+    ]
+
+
 def test_leaf_rows_are_sorted_by_the_digest_of_their_key_first(spark):
     leaf = windows.leaf_state(windows.stream_rows(flows(spark, ARRIVALS[0]), OPTIONS))
     plan = leaf._jdf.queryExecution().executedPlan().toString()
