@@ -6,8 +6,10 @@ place, longest first, and the first one that may stand after the last token of t
 prefix before it is this prefix's last token. Ids are then read backwards. Two tokens
 may stand side by side if merging their joined text by priority gives these two back.
 
-No piece holds a blank after another character, so texts are cut before blanks and each
-distinct cut is encoded once per worker. Null and empty texts give the begin and end ids
+No piece holds a blank after another character, so texts are cut before blanks; likewise
+around line ends if no piece holds one, and before marks that follow a letter or digit in
+no piece. Each distinct cut is encoded and decoded once per worker, as
+long as the worker keeps it. Null and empty texts give the begin and end ids
 only; a null doc_id stays null; repeated rows are encoded alike; an empty table gives an
 empty result; further columns are not read. A long text without blanks is one cut and
 takes time in proportion to its length.
@@ -18,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +32,28 @@ BLANK = "▁"
 #: Kinds of pieces in the model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Cuts longer than this are not kept in a worker's memory, and no more cuts than this.
-KEEP_CHARS, KEEP_CUTS, KEEP_PAIRS = 40, 300_000, 600_000
-_CUT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+KEEP_CHARS, KEEP_CUTS, KEEP_PAIRS = 40, 400_000, 600_000
+
+
+def _cutter(texts: Collection[str]) -> re.Pattern[str]:
+    """Cuts a text only between two characters that stand side by side in none of the pieces."""
+    pairs = {pair for text in texts for pair in zip(text, text[1:]) if pair[0] != BLANK}
+    odd = {char for text in texts for char in text if not (char.isalpha() or char.isdecimal())} - {BLANK, "\n"}
+    marks = {char for char in odd if char.isascii()}
+    while more := {a for a, b in pairs if b in marks and a in odd - marks}:
+        marks |= more
+    while wrong := {b for a, b in pairs if b in marks and a not in marks}:
+        marks -= wrong
+    line = "" if any("\n" in text for text in texts) else "\n"
+    mark = "".join(map(re.escape, sorted(marks)))
+    rest = f"[^{BLANK}{line}{mark}]"
+    cuts = [f"{BLANK}*{rest}++"]
+    if marks:
+        cuts.append(f"{BLANK}*[{mark}]++{rest}*+")
+    cuts.append(f"{BLANK}+")
+    if line:
+        cuts.append(f"{line}+")
+    return re.compile("|".join(cuts))
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -98,14 +120,19 @@ class PieceModel:
             raise ValueError("a character of a piece is no piece itself")
         self.begin, self.end = self.texts.index("<s>"), self.texts.index("</s>")
         self.automaton = ahocorasick.Automaton()
+        #: For each piece: whether it may stand after another one, as far as known.
+        self.pairs: dict[int, dict[int, bool]] = {}
         for text, ident in self.ids.items():
             # A piece that merges can't build on its own never ends a prefix.
             if len(text) == 1 or self.merged(text) == [text]:
-                self.automaton.add_word(text, (len(text), ident))
+                self.pairs[ident] = {-1: True}
+                self.automaton.add_word(text, (len(text), ident, self.pairs[ident]))
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
-        self.cuts: dict[str, tuple[int, ...]] = {}
-        self.surfaces: dict[tuple[int, ...], str] = {}
+        self.n_pairs = 0
+        self.cut_at = _cutter(self.ids)
+        self.cuts: dict[str, tuple[bytes, str]] = {}
+        #: What a piece reads as; null where a decoder has to look at its neighbours.
+        self.plain = [t.replace(BLANK, " ") if k == NORMAL else None for t, k in zip(self.texts, self.kinds, strict=True)]
 
     def merged(self, text: str) -> list[str]:
         """Merge neighbours by priority; only used on the joined text of two pieces."""
@@ -124,61 +151,68 @@ class PieceModel:
         """Whether merging the joined text of two pieces gives these two back."""
         first, second = self.texts[left], self.texts[right]
         known = self.merged(first + second) == [first, second]
-        if len(self.pairs) >= KEEP_PAIRS:
-            self.pairs.clear()
-        self.pairs[left << 20 | right] = known
+        if self.n_pairs >= KEEP_PAIRS:
+            for pairs in self.pairs.values():
+                pairs.clear()
+                pairs[-1] = True
+            self.n_pairs = 0
+        self.pairs[right][left] = known
+        self.n_pairs += 1
         return known
 
     def _table(self, text: str) -> list[int]:
         """Last tokens of all prefixes, then ids from the end; -1 is a character that is no piece."""
-        last, lengths, pairs = [-1] * (len(text) + 1), [1] * (len(text) + 1), self.pairs
-        for place, (length, ident) in self.automaton.iter(text):
-            end = place + 1
-            if last[end] >= 0:  # a longer piece, they come first, is this prefix's last token
+        # The item behind the last one is read as the prefix without characters.
+        last, lengths = [-1] * (len(text) + 1), [1] * len(text)
+        for place, (length, ident, pairs) in self.automaton.iter(text):
+            if last[place] >= 0:  # a longer piece, they come first, is this prefix's last token
                 continue
-            start = end - length
-            before = last[start] if start else -1
             # Characters that are no piece are in no piece either, so they never merge.
-            if before >= 0:
-                fits = pairs.get(before << 20 | ident)
-                if fits is None:
-                    fits = self.compatible(before, ident)
-                if not fits:
-                    continue
-            last[end], lengths[end] = ident, length
+            before = last[place - length]
+            fits = pairs.get(before)
+            if fits is None:
+                fits = self.compatible(before, ident)
+            if fits:
+                last[place], lengths[place] = ident, length
         out, end = [], len(text)
         while end:
-            if last[end] >= 0:
-                out.append(last[end])
+            ident = last[end - 1]
+            if ident >= 0:
+                out.append(ident)
             else:
                 out.extend(self.bytes[b] for b in reversed(text[end - 1].encode()))
-            end -= lengths[end]
+            end -= lengths[end - 1]
         out.reverse()
         return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without begin and end."""
-        out: list[int] = []
-        if not text:
-            return out
-        for ids in self.encode_cuts(text):
-            out.extend(ids)
+        return array("I", b"".join([ids for ids, _ in self.encode_cuts(text)])).tolist() if text else []
+
+    def encode_cuts(self, text: str) -> list[tuple[bytes, str]]:
+        """Of each cut of a text: its ids, as unsigned 32-bit integers, and the text they decode to."""
+        listed = self.cut_at.findall(BLANK + text.replace(" ", BLANK))
+        found = list(map(self.cuts.get, listed))
+        if None in found:
+            for place, cut in enumerate(listed):
+                if found[place] is None:
+                    found[place] = self.cuts.get(cut) or self._cut(cut)
+        return found
+
+    def _cut(self, cut: str) -> tuple[bytes, str]:
+        ids = self._table(cut)
+        out = array("I", ids).tobytes(), self.surface(ids)
+        if len(cut) <= KEEP_CHARS:
+            if len(self.cuts) >= KEEP_CUTS:
+                self.cuts.clear()
+            self.cuts[cut] = out
         return out
 
-    def encode_cuts(self, text: str) -> Iterator[tuple[int, ...]]:
-        cuts = self.cuts
-        for cut in _CUT.findall(BLANK + text.replace(" ", BLANK)):
-            ids = cuts.get(cut)
-            if ids is None:
-                ids = tuple(self._table(cut))
-                if len(cut) <= KEEP_CHARS:
-                    if len(cuts) >= KEEP_CUTS:
-                        cuts.clear()
-                    cuts[cut] = ids
-            yield ids
-
-    def surface(self, ids: tuple[int, ...]) -> str:
+    def surface(self, ids: list[int]) -> str:
         """Text of some ids in a row; broken byte sequences become U+FFFD, one for each byte."""
+        read = [self.plain[ident] for ident in ids]
+        if None not in read:
+            return "".join(read)
         out, held = [], bytearray()
 
         def flush() -> None:
@@ -207,25 +241,18 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: control ids are silent and the leading blank goes."""
-        out = self.surface(tuple(ids))
+        out = self.surface(ids)
         first = next((i for i in ids if self.kinds[i] != CONTROL), None)
         leading = first is not None and self.kinds[first] == NORMAL and self.texts[first].startswith(BLANK)
         return out[1:] if leading else out
 
-    def decode_cuts(self, cuts: list[tuple[int, ...]]) -> str:
+    def decode_cuts(self, cuts: list[tuple[bytes, str]]) -> str:
         """`decode` of cuts in a row. A cut holds whole characters, so no byte sequence spans two."""
-        surfaces, out = self.surfaces, []
-        for ids in cuts:
-            text = surfaces.get(ids)
-            if text is None:
-                text = self.surface(ids)
-                if len(ids) <= KEEP_CHARS:
-                    if len(surfaces) >= KEEP_CUTS:
-                        surfaces.clear()
-                    surfaces[ids] = text
-            out.append(text)
-        whole = "".join(out)
-        return whole[1:] if cuts and self.texts[cuts[0][0]].startswith(BLANK) else whole
+        whole = "".join([text for _, text in cuts])
+        if not cuts:
+            return whole
+        first = array("I", cuts[0][0][:4])[0]
+        return whole[1:] if self.texts[first].startswith(BLANK) else whole
 
 
 _MODELS: dict[str, PieceModel] = {}
@@ -242,22 +269,20 @@ def model_of(path: str) -> PieceModel:
 def _batches(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
+        begin_id, end_id = array("I", [model.begin]).tobytes(), array("I", [model.end]).tobytes()
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
                 sizes, digests, decoded, kept, texts = [], [], [], [], []
                 for text in part.column("text").to_pylist():
-                    cuts = list(model.encode_cuts(text)) if text else []
-                    ids = array("I", [model.begin])
-                    for cut in cuts:
-                        ids.extend(cut)
-                    ids.append(model.end)
+                    cuts = model.encode_cuts(text) if text else []
+                    ids = b"".join([begin_id, *[own for own, _ in cuts], end_id])
                     back = model.decode_cuts(cuts)
-                    sizes.append(len(ids))
-                    digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    sizes.append(len(ids) // 4)
+                    digests.append(hashlib.sha256(ids).hexdigest())
                     decoded.append(hashlib.sha256(back.encode()).hexdigest())
                     if with_ids:
-                        kept.append(ids.tolist())
+                        kept.append(array("I", ids).tolist())
                         texts.append(back)
                 columns = [
                     part.column("doc_id"),

@@ -90,6 +90,36 @@ def test_pieces_match_the_library(odd, nothing):
     assert pieces.encoded(nothing, path).count() == 0
 
 
+def test_pieces_are_cut_at_marks_and_lines():
+    import sentencepiece
+
+    path = pieces.default_model()
+    model, library = pieces.PieceModel(open(path, "rb").read()), sentencepiece.SentencePieceProcessor(model_file=path)
+    model.encode("word")
+    assert len(model.cuts) == 1
+    # The word is kept once, whatever mark or line is behind it.
+    model.encode("word$$$ word%%%\n word. word")
+    assert set(model.cuts) == {"▁word", "$$$", "%%%", "\n", "."}
+    rng = random.Random(9)
+    units = [*model.texts[259::97], "²", ".", "x².y", "$$$", "\n", " ", "é", "’s", "--", "(a)", "1,000", "🙂", "\x00", "<0x41>"]
+    texts = ["".join(rng.choice(units) for _ in range(rng.randrange(40))) for _ in range(2000)]
+    for text, ids in zip(texts, library.encode(texts)):
+        assert model.encode(text) == ids, text
+        assert model.decode_cuts(model.encode_cuts(text) if text else []) == library.decode(ids), text
+    small = _small_cuts(model, texts[:50])
+    assert small == library.encode(texts[:50])
+
+
+def _small_cuts(model, texts):
+    """Ids with hardly any room for cuts and pairs."""
+    kept = pieces.KEEP_CUTS, pieces.KEEP_PAIRS
+    pieces.KEEP_CUTS, pieces.KEEP_PAIRS = 3, 5
+    try:
+        return [model.encode(text) for text in texts]
+    finally:
+        pieces.KEEP_CUTS, pieces.KEEP_PAIRS = kept
+
+
 def brute_components(rows):
     sets = [set(near_duplicates.Shingler()(text).tolist()) for _, text in rows]
     label = list(range(len(rows)))
