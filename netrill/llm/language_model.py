@@ -7,12 +7,13 @@ so its false hits stay as rare in any corpus. It gives the probability of a toke
 another, `(c(v, w) + M * P(w)) / (c(v) + M)` with `P(w)` as in the base score, all counts
 read from the filter.
 
-A filter up to a bound is broadcast. A larger one stays a table of segments: the different
-codes of a block of texts are shuffled to their segments, and the levels found come back to
-the block's texts.
+The model is a table of parts of the hash space, at any size: a part's filter segment is made
+where it is read. Texts are dealt into blocks; the different words and pairs of a block are
+shuffled to their parts, and their levels come back to the block's texts.
 
-The base score needs exact counts of all words. The most frequent ones, a fixed number,
-are broadcast; rare words are joined by a shuffle, so that no hot key meets in a task.
+The base score needs exact counts of all words: they lie beside the levels and come back with
+them. A block asks for a word once, so no hot key meets in a task. Words are told apart by
+their 64-bit digests.
 
 Edge cases: a null or empty text has the end token only; a null doc_id counts as the
 empty text in the fold's checksum; repeated rows are counted and scored one by one; an
@@ -22,12 +23,9 @@ columns are not read.
 
 from __future__ import annotations
 
-import math
-import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -35,27 +33,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netrill.llm.common import discarded, table, written
-from netrill.session import shared_folder
+from netrill.llm.common import table, written
+from netrill.llm.word_codes import pieces_of, word_codes
 
 #: The end token is no word: words hold no blank.
 END = b" "
 FOLDS, HELD_OUT = 5, 1
-#: Exact counts of so many words are broadcast (about 10 MB).
-HEAD_WORDS = 100_000
 #: Entries are stored for counts from here on.
 LEAST_COUNT = 1
-#: Bits for an entry, probes for a look, and the greatest size of a filter that is broadcast.
-ENTRY_BITS, PROBES, MOST_BITS = 12, 4, 1 << 29
+#: Bits for an entry and probes for a look.
+ENTRY_BITS, PROBES = 12, 4
+#: Bounds of former broadcasts, of words with exact counts and of the filter. Nothing is broadcast now,
+#: and results don't depend on them.
+HEAD_WORDS, MOST_BITS = 100_000, 1 << 29
 #: Weight of the word's own probability against the pair's count.
 WEIGHT = 20.0
 #: Parts of the hash space: the counts of one part are merged in one task.
 PARTS = 256
-KEEP_WORDS, KEEP_HASHES = 300_000, 300_000
-#: Tokens after which a block of texts ends.
-BLOCK_TOKENS = 500_000
-#: Characters of texts after which a row of a block ends.
-ROW_CHARS = 4_000_000
+#: Tokens whose counts are held in a task before they are given on.
+KEEP_TOKENS = 3_000_000
+#: Tokens of a block of texts, about, and bytes of a token for that.
+BLOCK_TOKENS, TOKEN_BYTES = 1_500_000, 6
 MOST_LEVELS = 40
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -84,29 +82,26 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-class Codes:
-    """64-bit codes of tokens, kept in a bounded table."""
+def token_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit codes of the tokens of some texts in a row, number of tokens of each text), as by `tokens_of`."""
+    import xxhash
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > KEEP_HASHES:
-            known.clear()
-        for token in set(tokens).difference(known):
-            known[token] = xxhash.xxh64_intdigest(token)
-        return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    words, sizes = word_codes(texts)
+    sizes = sizes + 1
+    codes = np.empty(len(words) + len(sizes), np.uint64)
+    end = np.zeros(len(codes), np.bool_)
+    end[np.cumsum(sizes) - 1] = True
+    codes[end] = xxhash.xxh64_intdigest(END)
+    codes[~end] = words
+    return codes, sizes
 
 
-def pairs_of(codes: np.ndarray, sizes: list[int]) -> np.ndarray:
+def pairs_of(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Codes of (token before, token) for all tokens of some texts; before the first stands an end."""
     before = np.empty_like(codes)
     before[1:] = codes[:-1]
     # Each text ends in the end token, so the one before a text's first token is an end already.
-    before[0] = codes[sum(sizes) - 1]
+    before[0] = codes[sizes[0] - 1]
     return pair_codes(before, codes)
 
 
@@ -139,93 +134,116 @@ def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-COUNTS = "word binary, n bigint, part int, codes binary, counts binary"
-_COUNTS = pa.schema(
-    [("word", pa.binary()), ("n", pa.int64()), ("part", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary())]
-)
+def high_bits(codes: np.ndarray) -> np.ndarray:
+    """The 32 bits of codes after the 8 that choose the part."""
+    return (codes >> np.uint64(24)).astype(np.uint32)
+
+
+def low_bytes(codes: np.ndarray) -> bytes:
+    """The last 24 bits of codes, byte plane by byte plane."""
+    return codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T[:3].tobytes()
+
+
+def whole_codes(part: int, high: np.ndarray, rest: bytes) -> np.ndarray:
+    """64-bit codes from their part, `high_bits` and `low_bytes`."""
+    planes = np.frombuffer(rest, np.uint8).reshape(3, -1).astype(np.uint64)
+    low = planes[0] | planes[1] << np.uint64(8) | planes[2] << np.uint64(16)
+    return np.uint64(part) << np.uint64(56) | high.astype(np.uint64) << np.uint64(24) | low
+
+
+class Sums:
+    """Counts by code. What comes waits until it is as much as what is there, so each code is sorted a few times only."""
+
+    def __init__(self) -> None:
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size, self.more = 0, 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((codes, counts))
+        self.more += len(codes)
+        if self.more >= max(self.size, 100_000):
+            self._join()
+
+    def _join(self) -> None:
+        self.waiting = [summed(*map(np.concatenate, zip(*self.waiting, strict=True)))]
+        self.size, self.more = len(self.waiting[0][0]), 0
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending codes with their sums; nothing is left."""
+        if not self.waiting:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._join()
+        self.size = 0
+        return self.waiting.pop()
+
+
+COUNTS = "part int, codes binary, rest binary, counts binary"
+_COUNTS = pa.schema([("part", pa.int32()), ("codes", pa.binary()), ("rest", pa.binary()), ("counts", pa.binary())])
+
+
+def _counted(codes: np.ndarray, exact: bool) -> pa.RecordBatch:
+    """Packed counts of codes by part; `rest` holds what is left of the codes if they are to be told apart exactly."""
+    codes, counts = np.unique(codes, return_counts=True)
+    rows = list(packed(codes, counts.astype(np.uint32)))
+    ends = np.cumsum([0, *[len(row[2]) // 4 for row in rows]])
+    rest = [low_bytes(codes[a:b]) if exact else None for a, b in pairwise(ends)]
+    columns = [[row[0] for row in rows], [row[1] for row in rows], rest, [row[2] for row in rows]]
+    return pa.RecordBatch.from_pydict(dict(zip(_COUNTS.names, columns, strict=True)), schema=_COUNTS)
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of a task: rows of words, and packed counts of words and pairs by part."""
-    words: Counter = Counter()
-    codes_of = Codes()
-    waiting: list[np.ndarray] = []
+    """Partial counts of a task by part of the hash space: words under their own mixed codes, pairs under pair codes."""
+    words: list[np.ndarray] = []
+    pairs: list[np.ndarray] = []
     size = 0
 
-    def word_rows() -> Iterator[pa.RecordBatch]:
-        n = len(words)
-        keys, values = pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())
-        nothing = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+    def ended() -> Iterator[pa.RecordBatch]:
+        yield _counted(np.concatenate(words), True)
         words.clear()
-        yield pa.RecordBatch.from_arrays([keys, values, *nothing], schema=_COUNTS)
-
-    def part_rows() -> Iterator[pa.RecordBatch]:
-        codes, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        waiting.clear()
-        rows = list(packed(codes, counts.astype(np.uint32)))
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(n, pa.binary()),
-                pa.nulls(n, pa.int64()),
-                pa.array([row[0] for row in rows], pa.int32()),
-                pa.array([row[1] for row in rows], pa.binary()),
-                pa.array([row[2] for row in rows], pa.binary()),
-            ],
-            schema=_COUNTS,
-        )
+        yield _counted(np.concatenate(pairs), False)
+        pairs.clear()
 
     for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            texts = [tokens_of(t) for t in batch.column("text").slice(begin, 256).to_pylist()]
-            tokens = list(chain.from_iterable(texts))
-            words.update(tokens)
-            codes = codes_of.of(tokens)
-            # Words count under their own mixed codes, pairs under pair codes.
-            waiting += [mixed(codes), pairs_of(codes, [len(t) for t in texts])]
-            size += 2 * len(tokens)
-            if len(words) >= KEEP_WORDS:
-                yield from word_rows()
-            if size >= 6_000_000:
-                yield from part_rows()
+        for some in pieces_of(batch.column("text")):
+            codes, sizes = token_codes(some)
+            words.append(mixed(codes))
+            pairs.append(pairs_of(codes, sizes))
+            size += len(codes)
+            if size >= KEEP_TOKENS:
+                yield from ended()
                 size = 0
     if words:
-        yield from word_rows()
-    if waiting:
-        yield from part_rows()
+        yield from ended()
 
 
 def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sum the packed counts of a part; give the codes worth an entry with their levels.
 
-    What comes waits until it is as much as what is there, so each code is sorted a few times only.
+    Words, which come with the `rest` of their codes, are given with exact counts as well.
     """
-    part, size = None, 0
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def joined() -> None:
-        nonlocal size
-        waiting[:] = [summed(*map(np.concatenate, zip(*waiting, strict=True)))]
-        size = len(waiting[0][0])
+    part: int | None = None
+    entries, words = Sums(), Sums()
 
     def ended() -> pd.DataFrame:
-        joined()
-        codes, counts = waiting.pop()
+        codes, counts = entries.taken()
         keep = counts >= LEAST_COUNT
         levels = (np.floor(np.log2(counts[keep])) + 1).astype(np.uint8)
-        return pd.DataFrame(
-            {"part": [part], "codes": [thin(codes[keep])], "levels": [levels.tobytes()], "n": [int(levels.sum())]}
-        )
+        own, times = words.taken()
+        row = {"part": part, "codes": thin(codes[keep]), "levels": levels.tobytes(), "n": int(levels.sum())}
+        row |= {"words": thin(high_bits(own)), "rest": low_bytes(own), "counts": times.tobytes()}
+        return pd.DataFrame([row | {"distinct": len(own), "total": int(times.sum())}])
 
     for frame in frames:
-        for number, more, times in zip(frame["part"], frame["codes"], frame["counts"], strict=True):
+        rests = frame["rest"] if "rest" in frame else [None] * len(frame)
+        for number, more, rest, times in zip(frame["part"], frame["codes"], rests, frame["counts"], strict=True):
             if number != part:
                 if part is not None:
                     yield ended()
-                part, size = number, 0
-            waiting.append((full(more), np.frombuffer(times, np.uint32).astype(np.int64)))
-            if sum(len(codes) for codes, _ in waiting[1:]) >= max(size, len(waiting[0][0])):
-                joined()
+                part = number
+            codes, counts = full(more), np.frombuffer(times, np.uint32).astype(np.int64)
+            entries.add(codes, counts)
+            if rest is not None:
+                words.add(whole_codes(part, codes, rest), counts)
     if part is not None:
         yield ended()
 
@@ -234,9 +252,21 @@ def _places(part: np.ndarray, codes: np.ndarray, level: int, bits: int) -> Itera
     """Bits that stand for (code, level) inside the segment of a part."""
     x = mixed((codes.astype(np.uint64) << np.uint64(8)) + np.uint64(level))
     y = mixed(x) | np.uint64(1)
-    base = part.astype(np.uint64) * np.uint64(bits)
+    base, bits = part.astype(np.uint64) * np.uint64(bits), np.uint64(bits)
     for probe in range(PROBES):
-        yield base + (x + np.uint64(probe) * y) % np.uint64(bits)
+        place = x + np.uint64(probe) * y
+        # The remainder by a division, which numpy does faster.
+        yield base + (place - place // bits * bits)
+
+
+def segment(codes: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
+    """Bloom bits of a part, packed."""
+    bitmap = np.zeros(bits, np.bool_)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        own = codes[levels >= level]
+        for places in _places(np.zeros(len(own), np.uint64), own, level, bits):
+            bitmap[places] = True
+    return np.packbits(bitmap)
 
 
 def _segments(bits: int):
@@ -245,13 +275,8 @@ def _segments(bits: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part, raw, levels in zip(frame["part"], frame["codes"], frame["levels"], strict=True):
-                codes, levels = full(raw), np.frombuffer(levels, np.uint8)
-                bitmap = np.zeros(bits, np.bool_)
-                for level in range(1, int(levels.max(initial=0)) + 1):
-                    own = codes[levels >= level]
-                    for places in _places(np.zeros(len(own), np.uint64), own, level, bits):
-                        bitmap[places] = True
-                yield pd.DataFrame({"part": [part], "bits": [np.packbits(bitmap).tobytes()]})
+                data = segment(full(raw), np.frombuffer(levels, np.uint8), bits)
+                yield pd.DataFrame({"part": [part], "bits": [data.tobytes()]})
 
     return run
 
@@ -276,8 +301,8 @@ class Filter:
         for level in range(1, MOST_LEVELS):
             held = np.ones(len(active), np.bool_)
             for places in _places(part[active], short[active], level, self.bits):
-                byte = self.data[(places >> np.uint64(3)).astype(np.int64)]
-                held &= (byte >> (7 - (places & np.uint64(7))).astype(np.uint8)) & 1 == 1
+                byte = self.data[(places >> np.uint64(3)).view(np.int64)]
+                held &= (byte >> (np.uint64(7) - (places & np.uint64(7))).astype(np.uint8)) & 1 == 1
             active = active[held]
             if not len(active):
                 break
@@ -285,295 +310,177 @@ class Filter:
         return levels
 
 
-class Levels:
-    """Levels of a block's codes, as read from the segments; `codes` ascend."""
+class Tokens:
+    """Tokens of some texts in a row, with the different words and pairs among them in ascending order of codes."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        parts = [token_codes(some) for some in pieces_of(texts)]
+        codes = np.concatenate([np.zeros(0, np.uint64), *[own for own, _ in parts]])
+        self.sizes = np.concatenate([np.zeros(0, np.int64), *[own for _, own in parts]])
+        self.words, self.word = np.unique(mixed(codes), return_inverse=True)
+        before = np.empty_like(self.word)
+        before[1:] = self.word[:-1]
+        before[0] = self.word[self.sizes[0] - 1]
+        self.pairs, first, self.pair = np.unique(pairs_of(codes, self.sizes), return_index=True, return_inverse=True)
+        #: The two words of each different pair.
+        self.first, self.second = before[first], self.word[first]
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the tokens of each text."""
+        return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
+
+
+#: A part of the model (`block` null), or what a block of texts asks of it and, with levels and counts, is told:
+#: words by their whole codes, pairs by 32 bits. A model's codes are those of words and pairs together.
+LOOKS = "block bigint, part int, words binary, rest binary, codes binary, levels binary, counts binary"
+_LOOKS = pa.schema(
+    [("block", pa.int64()), ("part", pa.int32())]
+    + [(name, pa.binary()) for name in ("words", "rest", "codes", "levels", "counts")]
+)
 
-    def __init__(self, codes: np.ndarray, levels: np.ndarray):
-        self.codes, self.levels = codes, levels
 
-    def counts(self, codes: np.ndarray) -> np.ndarray:
-        return middles(self.levels[np.searchsorted(self.codes, codes)].astype(np.int64))
+def _looks(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(_LOOKS)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LOOKS.types, strict=True)], schema=_LOOKS)
 
 
-class Model:
-    """What scoring needs, of bounded size: the filter if small, frequent words' counts and totals."""
+def _edges(codes: np.ndarray) -> np.ndarray:
+    """Where the parts of ascending codes begin and end."""
+    return np.searchsorted(codes >> np.uint64(56), np.arange(PARTS + 1, dtype=np.uint64))
 
-    def __init__(self, filter_: Filter | Levels | None, head: dict[bytes, int], total: int, distinct: int):
-        self.filter, self.head, self.total, self.distinct = filter_, head, total, distinct
-        self.floor = total + 0.5 * (distinct + 1)
 
-    def log10(self, codes: np.ndarray, sizes: list[int]) -> np.ndarray:
-        """Log10 probability of each token of some texts in a row."""
-        unique, place = np.unique(codes, return_inverse=True)
-        own = self.filter.counts(mixed(unique))[place]
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[0] = own[sum(sizes) - 1]
-        pairs, places = np.unique(pairs_of(codes, sizes), return_inverse=True)
-        both = np.minimum(self.filter.counts(pairs)[places], before)
-        alone = (own + 0.5) / self.floor
-        return np.log10((both + WEIGHT * alone) / (before + WEIGHT))
+def _asking(texts: pa.Table) -> pa.Table:
+    """The different words and pairs of a block, by part."""
+    tokens = Tokens(texts.column("text"))
+    block, rows = texts.column("block")[0].as_py(), []
+    edges = zip(pairwise(_edges(tokens.words)), pairwise(_edges(tokens.pairs)), strict=True)
+    for part, ((a, b), (c, d)) in enumerate(edges):
+        if a < b or c < d:
+            words = tokens.words[a:b]
+            rows.append((block, part, thin(high_bits(words)), low_bytes(words), thin(high_bits(tokens.pairs[c:d])), None, None))
+    return pa.Table.from_batches([_looks(rows)])
 
 
-def _stored(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """A written table, and its folder for when nothing reads it any more."""
-    path = shared_folder(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
-    return frame.sparkSession.read.parquet(path), path
+def _look_up(bits: int):
+    """Levels and exact counts for the rows that follow their part of the model."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_, known, times, at = None, None, None, None
+
+        def told(rows: list[dict]) -> pa.RecordBatch:
+            """Answers to rows of one part, looked up together."""
+            part = rows[0]["part"]
+            high, pairs = [full(row["words"]) for row in rows], [full(row["codes"]) for row in rows]
+            codes, place = np.unique(np.concatenate([*high, *pairs]), return_inverse=True)
+            words, spot = np.unique(
+                np.concatenate([whole_codes(part, h, row["rest"]) for h, row in zip(high, rows, strict=True)]),
+                return_inverse=True,
+            )
+            counts, levels = np.zeros(len(words), np.int64), np.zeros(len(codes), np.uint8)
+            # With no training texts a part has no model.
+            if part == at:
+                levels = filter_.levels(np.zeros(len(codes), np.uint64), codes).astype(np.uint8)
+                if len(known):
+                    near = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                    counts = np.where(known[near] == words, times[near], 0)
+            levels, counts = levels[place], counts[spot]
+            a, c, out = 0, sum(map(len, high)), []
+            for row, own, other in zip(rows, high, pairs, strict=True):
+                b, d = a + len(own), c + len(other)
+                out.append((row["block"], part, None, None, levels[c:d].tobytes(), levels[a:b].tobytes(), counts[a:b].tobytes()))
+                a, c = b, d
+            return _looks(out)
 
-def learned(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame | None, int]:
-    """The model of `docs` (text) and the written exact counts (word, n) of all its tokens.
+        for batch in batches:
+            waiting: list[dict] = []
+            size = 0
+            for row in batch.to_pylist():
+                if waiting and (row["part"] != waiting[0]["part"] or size >= KEEP_TOKENS):
+                    yield told(waiting)
+                    waiting, size = [], 0
+                if row["block"] is None:
+                    at, codes = row["part"], full(row["codes"])
+                    filter_ = Filter(bits, segment(codes, np.frombuffer(row["levels"], np.uint8), bits))
+                    known = whole_codes(at, full(row["words"]), row["rest"])
+                    times = np.frombuffer(row["counts"], np.int64)
+                else:
+                    waiting.append(row)
+                    size += (len(row["words"]) + len(row["codes"])) // 4
+            if waiting:
+                yield told(waiting)
 
-    A filter too large to be broadcast is given as a written table (part, bits) instead, with
-    the bits of a segment.
-    """
-    spark = docs.sparkSession
-    rows, partial = _stored(docs.select("text").mapInArrow(_counter, COUNTS), "lm-partial")
-    words = rows.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    words = written(words, "lm-words")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = words.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toPandas()
-    parts = rows.where("part is not null").select("part", "codes", "counts")
-    parts = parts.repartition(PARTS, "part").sortWithinPartitions("part")
-    merged, levels = _stored(
-        parts.mapInPandas(_merge, "part int, codes binary, levels binary, n bigint"), "lm-levels"
-    )
-    discarded(spark, partial)
-    largest = merged.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    bits = max(64, -(-int(largest) * ENTRY_BITS // 64) * 64)
-    segments = merged.mapInPandas(_segments(bits), "part int, bits binary")
-    counts = dict(zip(map(bytes, head["word"]), map(int, head["n"]), strict=True))
-    if bits * PARTS > MOST_BITS:
-        segments = written(segments, "lm-segments")
-        discarded(spark, levels)
-        return Model(None, counts, int(total), int(distinct)), words, segments, bits
-    data = np.zeros(PARTS * bits // 8, np.uint8)
-    # PARTS rows of `bits` bits: at most MOST_BITS together.
-    for part, segment in segments.toLocalIterator():
-        data[part * bits // 8 : (part + 1) * bits // 8] = np.frombuffer(segment, np.uint8)
-    return Model(Filter(bits, data), counts, int(total), int(distinct)), words, None, bits
+    return run
 
 
 SCORED = (
-    "row_key string, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-    "base_score double, score double, rare array<binary>, rare_times array<bigint>"
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+    "base_score double, score double"
 )
 
 
-def _scores(model: Model, codes_of: Codes, doc_ids: list, raw: list) -> Iterator[pa.RecordBatch]:
-    """Scored rows of some texts."""
-    head = model.head
-    unit = [math.log10((n + 0.5) / model.floor) for n in range(1000)] if model.floor else []
-    for begin in range(0, len(raw), 256):
-        texts = [tokens_of(t) for t in raw[begin : begin + 256]]
-        ids = doc_ids[begin : begin + 256]
-        sizes = [len(t) for t in texts]
-        codes = codes_of.of(list(chain.from_iterable(texts)))
-        logs = model.log10(codes, sizes)
-        ends = np.cumsum(sizes)
-        scores = np.add.reduceat(logs, np.r_[0, ends[:-1]])
-        known, base, rare, times = [], [], [], []
-        for tokens in texts:
-            frequent, sum_, own = 0, 0.0, {}
-            for token, n in Counter(tokens).items():
-                count = head.get(token)
-                if count is None:
-                    own[token] = n
-                else:
-                    frequent += n
-                    sum_ += n * (unit[count] if count < 1000 else math.log10((count + 0.5) / model.floor))
-            known.append(frequent)
-            base.append(sum_)
-            rare.append(list(own))
-            times.append(list(own.values()))
-        n = len(texts)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([uuid.uuid4().hex for _ in range(n)], pa.string()),
-                pa.array(ids, pa.int64()),
-                pa.array(map(held_out, ids), pa.bool_()),
-                pa.array(sizes, pa.int64()),
-                pa.array(known, pa.int64()),
-                pa.array([model.total] * n, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(scores, pa.float64()),
-                pa.array(rare, pa.list_(pa.binary())),
-                pa.array(times, pa.list_(pa.int64())),
-            ],
-            ["row_key", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "rare", "rare_times"],
+def _scoring(total: int, distinct: int):
+    """Scored rows of a block from its texts and the answers to it."""
+    floor = total + 0.5 * (distinct + 1)
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens = Tokens(texts.column("text"))
+        answers = answers.sort_by("part")
+
+        def joined(name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b"".join(answers.column(name).to_pylist()), kind)
+
+        # The answers' `codes` are the levels of pairs, `levels` those of words.
+        own, pairs = middles(joined("levels", np.uint8).astype(np.int64)), middles(joined("codes", np.uint8).astype(np.int64))
+        counts = joined("counts", np.int64)
+        before = own[tokens.first]
+        alone = (own[tokens.second] + 0.5) / floor
+        logs = np.log10((np.minimum(pairs, before) + WEIGHT * alone) / (before + WEIGHT))
+        base = np.log10((counts + 0.5) / floor)
+        ids = texts.column("doc_id").to_pylist()
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "held_out": pa.array(map(held_out, ids), pa.bool_()),
+                "n_tokens": pa.array(tokens.sizes, pa.int64()),
+                "n_known": pa.array(tokens.by_text((counts > 0).astype(np.int64)[tokens.word]), pa.int64()),
+                "train_tokens": pa.array([total] * len(ids), pa.int64()),
+                "base_score": pa.array(tokens.by_text(base[tokens.word]), pa.float64()),
+                "score": pa.array(tokens.by_text(logs[tokens.pair]), pa.float64()),
+            }
         )
 
-
-def _scorer(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes_of = Codes()
-        for batch in batches:
-            yield from _scores(
-                shared.value, codes_of, batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            )
-
-    return run
-
-
-#: Rows of a block: codes by part (then their levels, in the same order), or some texts (`part` null).
-BLOCKS = "block bigint, part int, data binary"
-_BLOCKS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
-_TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
-
-
-def _texts_row(ids: list, texts: list) -> bytes:
-    """Some texts as a compressed Arrow stream."""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-        stream.write_batch(pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], schema=_TEXTS))
-    return sink.getvalue().to_pybytes()
-
-
-def block_codes(texts: list[list[bytes]], codes_of: Codes) -> np.ndarray:
-    """The different codes that scoring some texts looks up, ascending."""
-    seen = [np.zeros(0, np.uint64)]
-    for begin in range(0, len(texts), 256):
-        some = texts[begin : begin + 256]
-        codes = codes_of.of(list(chain.from_iterable(some)))
-        seen += [np.unique(mixed(codes)), np.unique(pairs_of(codes, [len(t) for t in some]))]
-    return np.unique(np.concatenate(seen))
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the number of their block, and each block's codes by part."""
-    codes_of = Codes()
-    texts: list[list[bytes]] = []
-    block, size = uuid.uuid4().int >> 65, 0
-
-    def row(part: list, data: list) -> pa.RecordBatch:
-        columns = [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.int32()), pa.array(data, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, schema=_BLOCKS)
-
-    def ended() -> pa.RecordBatch:
-        codes = block_codes(texts, codes_of)
-        rows = [row[:2] for row in packed(codes, np.zeros(len(codes), np.uint8))]
-        return row([row[0] for row in rows], [row[1] for row in rows])
-
-    for batch in batches:
-        ids, raw = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        begin, held = 0, 0
-        for at, text in enumerate(raw):
-            texts.append(tokens_of(text))
-            size += len(texts[-1])
-            held += len(text or "")
-            whole = size >= BLOCK_TOKENS
-            if whole or held >= ROW_CHARS or at + 1 == len(raw):
-                yield row([None], [_texts_row(ids[begin : at + 1], raw[begin : at + 1])])
-                begin, held = at + 1, 0
-            if whole:
-                yield ended()
-                texts, size, block = [], 0, uuid.uuid4().int >> 65
-    if texts:
-        yield ended()
-
-
-def _look_up(bits: int):
-    """Levels of the codes that follow their part's segment (`block` null)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, at = None, None
-        for batch in batches:
-            blocks, parts, found = batch.column("block").to_pylist(), batch.column("part").to_pylist(), []
-            for block, part, data in zip(blocks, parts, batch.column("data"), strict=True):
-                if block is None:
-                    filter_, at = Filter(bits, np.frombuffer(data.as_py(), np.uint8)), part
-                    found.append(None)
-                    continue
-                codes = full(data.as_py())
-                # With no training texts a part has no segment.
-                levels = filter_.levels(np.zeros(len(codes), np.uint64), codes) if part == at else np.zeros(len(codes))
-                found.append(levels.astype(np.uint8).tobytes())
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("part"), pa.array(found, pa.binary())], schema=_BLOCKS
-            )
-            yield out.filter(out.column("block").is_valid())
-
     return run
 
 
-def _block_scorer(shared):
-    """Scored rows of whole blocks; levels come before texts and in the order of their parts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        codes_of = Codes()
-        at, levels, ids, texts = None, [], [], []
-
-        def ended() -> Iterator[pa.RecordBatch]:
-            codes = block_codes([tokens_of(t) for t in texts], codes_of)
-            own = Levels(codes, np.frombuffer(b"".join(levels), np.uint8))
-            yield from _scores(Model(own, model.head, model.total, model.distinct), codes_of, ids, texts)
-
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("block", "part", "data")]
-            for block, part, data in zip(*columns, strict=True):
-                if block != at:
-                    if at is not None:
-                        yield from ended()
-                    at, levels, ids, texts = block, [], [], []
-                if part is None:
-                    some = pa.ipc.open_stream(data).read_all()
-                    ids += some.column("doc_id").to_pylist()
-                    texts += some.column("text").to_pylist()
-                else:
-                    levels.append(data)
-        if at is not None:
-            yield from ended()
-
-    return run
+MODEL = (
+    "part int, codes binary, levels binary, n bigint, words binary, rest binary, counts binary, "
+    "distinct bigint, total bigint"
+)
 
 
-def _block_scores(docs: DataFrame, shared, segments: DataFrame, bits: int) -> DataFrame:
-    """Scored rows of `docs` (doc_id, text), written, by levels read where the filter's segments are."""
-    rows, path = _stored(docs.mapInArrow(_blocks, BLOCKS), "lm-blocks")
-    nothing = F.lit(None).cast("bigint").alias("block")
-    codes = segments.select(nothing, "part", F.col("bits").alias("data")).unionByName(rows.where("part is not null"))
-    codes = codes.repartition(PARTS, "part").sortWithinPartitions("part", F.asc_nulls_first("block"))
-    levels = codes.mapInArrow(_look_up(bits), BLOCKS)
-    blocks = rows.where("part is null").unionByName(levels).repartition("block")
-    blocks = blocks.sortWithinPartitions("block", F.asc_nulls_last("part"))
-    out = written(blocks.mapInArrow(_block_scorer(shared), SCORED), "lm-scores")
-    discarded(docs.sparkSession, path)
-    return out
+def learned(docs: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """The written model of `docs` (text), a row for each part; bits of a segment, tokens and different tokens."""
+    parts = docs.select("text").mapInArrow(_counter, COUNTS).repartition(PARTS, "part").sortWithinPartitions("part")
+    model = written(parts.mapInPandas(_merge, MODEL), "lm-model")
+    sums = [F.coalesce(F.sum(name), F.lit(0)) for name in ("total", "distinct")]
+    largest, total, distinct = model.agg(F.coalesce(F.max("n"), F.lit(0)), *sums).first()
+    return model, max(64, -(-int(largest) * ENTRY_BITS // 64) * 64), int(total), int(distinct)
 
 
 def scored(docs: DataFrame, train: DataFrame) -> DataFrame:
     """Base and model scores of `docs` (doc_id, text), learnt from the rows of `train`."""
-    model, words, segments, bits = learned(train)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    floor = model.floor or 0.5
+    model, bits, total, distinct = learned(train)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if segments is None:
-        rows = written(slim.mapInArrow(_scorer(shared), SCORED), "lm-scores")
-    else:
-        rows = _block_scores(slim, shared, segments, bits)
-    rare = rows.select("row_key", F.explode(F.arrays_zip("rare", "rare_times")).alias("one"))
-    rare = rare.select("row_key", F.col("one.rare").alias("word"), F.col("one.rare_times").alias("times"))
-    count = F.coalesce(F.col("n"), F.lit(0))
-    sums = (
-        rare.join(words, "word", "left")
-        .groupBy("row_key")
-        .agg(
-            F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("times") * F.log10((count + 0.5) / F.lit(floor))).alias("more_base"),
-        )
-    )
-    out = rows.drop("rare", "rare_times").join(sums, "row_key", "left")
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        "train_tokens",
-        (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # Blocks go by the rows' own digests: both uses of the texts then see the same blocks, from one shuffle.
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + int(size) // (TOKEN_BYTES * BLOCK_TOKENS)))
+    texts = slim.select(block.alias("block"), "doc_id", "text").groupBy("block")
+    nothing = F.lit(None).cast("bigint").alias("block")
+    asked = model.select(nothing, "part", "words", "rest", "codes", "levels", "counts")
+    asked = asked.unionByName(texts.applyInArrow(_asking, LOOKS))
+    asked = asked.repartition(PARTS, "part").sortWithinPartitions("part", F.asc_nulls_first("block"))
+    answers = asked.mapInArrow(_look_up(bits), LOOKS)
+    return texts.cogroup(answers.groupBy("block")).applyInArrow(_scoring(total, distinct), SCORED)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -118,3 +118,39 @@ def test_levels_are_read_back():
     level = np.floor(np.log2(counts))
     want = np.where(counts >= lm.LEAST_COUNT, 1.5 * 2.0**level - 0.5, 0)
     assert np.mean(got == want) > 0.999 and np.all(got >= want)
+
+
+def test_digests_are_those_of_the_library(monkeypatch):
+    """Tokens digested by columns are the plain tokens, however texts are cut into pieces."""
+    import pyarrow as pa
+    import xxhash
+    from netrill.llm import word_codes
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abAZ é\t\n \x0b\x1f\x85[@") for _ in range(rng.randrange(100))) for _ in range(300)]
+    texts += [None, "", " ", "a" * 31, "a" * 32, "b" * 70 + " c", None]
+    tokens = [lm.tokens_of(text) for text in texts]
+    for size in (1, 100, 1_000_000):
+        monkeypatch.setattr(word_codes, "PIECE_BYTES", size)
+        for column in (pa.array(["before", *texts]).slice(1), pa.chunked_array([texts[:50], [], texts[50:]], pa.string())):
+            got = [lm.token_codes(some) for some in word_codes.pieces_of(column)]
+            assert np.concatenate([sizes for _, sizes in got]).tolist() == list(map(len, tokens))
+            codes = np.concatenate([codes for codes, _ in got]).tolist()
+            assert codes == [xxhash.xxh64_intdigest(t) for own in tokens for t in own]
+
+
+def test_one_way_at_any_size(docs_of, monkeypatch):
+    """A small filter goes the same way as a large one, without words or filters broadcast or brought to the driver."""
+    from pyspark import SparkContext
+
+    def refused(*_):
+        raise AssertionError("broadcast")
+
+    monkeypatch.setattr(SparkContext, "broadcast", refused)
+    rows = corpus(60)
+    train = [row for row in rows if not lm.held_out(row[0])]
+    whole = sorted(map(tuple, lm.scored(docs_of(rows), docs_of(train)).collect()))
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 50)
+    cut = sorted(map(tuple, lm.scored(docs_of(rows), docs_of(train)).collect()))
+    assert [row[:5] for row in whole] == [row[:5] for row in cut]
+    assert np.allclose([row[5:] for row in whole], [row[5:] for row in cut])
