@@ -9,7 +9,8 @@ whole texts: a text is toxic by its worst unit, so for each toxic text the unit
 is chosen anew in a few rounds. The machine then collapses into one weight for each
 three-character subsequence, which is all that is sent to the workers.
 
-Training takes a bounded sample of labelled rows; every row is scored over its whole text.
+Training takes a bounded sample of labelled rows, in one task and not in the driver, to which only
+the weights come; every row is scored over its whole text.
 
 Edge cases: null and empty texts score as the lowest unit does; a null doc_id is in the
 learning part and has no label; labels without a doc_id or a value are not used, of several
@@ -23,7 +24,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from itertools import chain, combinations
 
 import numpy as np
@@ -44,6 +45,8 @@ LONGEST, STEP = 18, 8
 SYMBOLS = 48
 START, END = 46, 47
 KEEP_UNITS = 400_000
+#: Units whose triples are held at a time; each takes up to 816 numbers, several times over.
+ROWS = 512
 
 
 def _codes(unit: str) -> list[int]:
@@ -76,8 +79,9 @@ def units_of(text: str | None) -> set[str]:
     return out
 
 
-def windows(unit: str) -> list[list[int]]:
-    codes = [START, *(_codes(unit) or [26]), END]
+def windows(unit: str) -> list[bytes]:
+    """Codes of a unit with its borders, a byte each; of a long one in stretches."""
+    codes = bytes([START, *(_codes(unit) or [26]), END])
     if len(codes) <= LONGEST:
         return [codes]
     starts = range(0, len(codes) - LONGEST + STEP, STEP)
@@ -114,13 +118,14 @@ def norms(block: np.ndarray) -> np.ndarray:
     return np.sqrt(ending.sum(axis=(1, 2)))
 
 
-def by_size(codes: list[list[int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def by_size(codes: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places in the list, units as rows) in blocks of one size."""
     sizes = np.array([len(c) for c in codes])
     for size in np.unique(sizes):
         for where in np.array_split(np.flatnonzero(sizes == size), max(1, (sizes == size).sum() // 4096)):
             if len(where):
-                yield where, np.array([codes[i] for i in where], np.int64)
+                rows = np.frombuffer(b"".join([codes[i] for i in where]), np.uint8)
+                yield where, rows.reshape(len(where), size).astype(np.int64)
 
 
 class Weights:
@@ -129,10 +134,13 @@ class Weights:
     def __init__(self, triple: np.ndarray, offset: float, slope: float, middle: float):
         self.triple, self.offset, self.slope, self.middle = triple, offset, slope, middle
 
-    def margins(self, codes: list[list[int]]) -> np.ndarray:
+    def margins(self, codes: list[bytes]) -> np.ndarray:
         out = np.zeros(len(codes), np.float32)
         for where, block in by_size(codes):
-            out[where] = self.triple[triples(block)] @ _shape(block.shape[1])[1] / norms(block)
+            weights = _shape(block.shape[1])[1]
+            for begin in range(0, len(where), ROWS):
+                rows = block[begin : begin + ROWS]
+                out[where[begin : begin + ROWS]] = self.triple[triples(rows)] @ weights / norms(rows)
         return out + self.offset
 
     def unit_margins(self, units: list[str]) -> np.ndarray:
@@ -150,9 +158,9 @@ class Weights:
 NOTHING_LEARNT = Weights(np.zeros(SYMBOLS**3, np.float32), 0.0, 0.0, 0.0)
 
 
-def _dense(codes: list[list[int]]) -> np.ndarray:
-    """Normalised feature vectors of a few units."""
-    out = np.zeros((len(codes), SYMBOLS**3), np.float32)
+def _dense(codes: list[bytes]) -> np.ndarray:
+    """Normalised feature vectors of a few units; they lie in memory by triple, as `_features` reads them."""
+    out = np.zeros((SYMBOLS**3, len(codes)), np.float32).T
     for where, block in by_size(codes):
         numbers, weights = triples(block), _shape(block.shape[1])[1]
         for row, own, norm in zip(where, numbers, norms(block), strict=True):
@@ -160,13 +168,13 @@ def _dense(codes: list[list[int]]) -> np.ndarray:
     return out
 
 
-def _features(codes: list[list[int]], dense: np.ndarray, root: np.ndarray) -> np.ndarray:
+def _features(codes: list[bytes], dense: np.ndarray, root: np.ndarray) -> np.ndarray:
     """Nyström features: kernels with the landmarks times the inverse root of their own kernel."""
     kernels = np.zeros((len(codes), len(dense)), np.float32)
     flat = np.ascontiguousarray(dense.T)
     for where, block in by_size(codes):
         weights = _shape(block.shape[1])[1]
-        for part in np.array_split(np.arange(len(where)), max(1, len(where) // 64)):
+        for part in np.array_split(np.arange(len(where)), max(1, len(where) // 16)):
             got = np.einsum("nck,c->nk", flat[triples(block[part])], weights, optimize=True)
             kernels[where[part]] = got / norms(block[part])[:, None]
     return kernels @ root
@@ -174,7 +182,7 @@ def _features(codes: list[list[int]], dense: np.ndarray, root: np.ndarray) -> np
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps; the last entry is the offset."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64, copy=False)
     w = np.zeros(x.shape[1])
     penalty = np.eye(len(w)) * ridge
     penalty[-1, -1] = 1e-6
@@ -223,7 +231,7 @@ def _first_values(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, f
     return {u: max(value[g] for g in _grams(u)) for u in {u for text in toxic for u in text}}
 
 
-def _landmarks(codes: list[list[int]], most: int) -> list[int]:
+def _landmarks(codes: list[bytes], most: int) -> list[int]:
     """The first units that aren't much like one before them; only chosen ones are held as vectors."""
     chosen: list[int] = []
     held: list[np.ndarray] = []
@@ -248,7 +256,35 @@ def _varied(unit: str) -> list[str]:
     return [*out, *[f"{unit[:i]}{unit[i - 1]}{unit[i:]}" for i in places], f"{unit}s"]
 
 
-def train(toxic: list[set[str]], clean: list[set[str]]) -> Weights:
+def _fitted(
+    ranked: list[str], times: dict[str, int], known_clean: list[str], negatives: list[str], in_good: dict[str, int]
+) -> tuple[Weights, list[str]]:
+    """A machine that tells the `ranked` units from the `negatives`, and the varied units it learnt from.
+
+    Its vectors are let go before the next round makes its own.
+    """
+    candidates = [windows(u)[0] for u in ranked[:400]]
+    landmarks = [candidates[i] for i in _landmarks(candidates, LANDMARKS - CLEAN_LANDMARKS)]
+    landmarks += [windows(u)[0] for u in known_clean[:CLEAN_LANDMARKS]]
+    dense = _dense(landmarks)
+    values, vectors = np.linalg.eigh((dense @ dense.T).astype(np.float64))
+    root = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
+    common = [u for u in ranked[:300] if times[u] > 1]
+    varied = [(v, times[u]) for u in common for v in _varied(u)]
+    positives = [*ranked, *[v for v, _ in varied]]
+    positive_codes = [windows(u)[0] for u in positives]
+    gain = np.sqrt([*[times[u] for u in ranked], *[0.25 * n for _, n in varied]])
+    negative_units = [(c, in_good[u]) for u in negatives for c in windows(u)]
+    loss = np.sqrt([n for _, n in negative_units])
+    y = np.r_[np.ones(len(positive_codes)), -np.ones(len(negative_units))]
+    cost = np.r_[gain / gain.sum(), 8 * loss / loss.sum()]
+    # The features are not named here, so that the machine can let them go.
+    w = _machine(_features([*positive_codes, *[c for c, _ in negative_units]], dense, root), y, cost * COST)
+    weights = Weights((dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
+    return weights, [v for v, _ in varied]
+
+
+def train(toxic: list[Collection[str]], clean: list[Collection[str]]) -> Weights:
     """Learn from the units of toxic and clean texts; the order of texts and units doesn't matter."""
     bad = sorted(sorted(text) for text in toxic if text)
     good = sorted(sorted(text) for text in clean if text)
@@ -280,24 +316,7 @@ def train(toxic: list[set[str]], clean: list[set[str]]) -> Weights:
         if not times:
             return NOTHING_LEARNT
         ranked = sorted(times, key=lambda u: (-times[u], -telling[u], u))[:1500]
-        candidates = [windows(u)[0] for u in ranked[:400]]
-        landmarks = [candidates[i] for i in _landmarks(candidates, LANDMARKS - CLEAN_LANDMARKS)]
-        landmarks += [windows(u)[0] for u in known_clean[:CLEAN_LANDMARKS]]
-        dense = _dense(landmarks)
-        values, vectors = np.linalg.eigh((dense @ dense.T).astype(np.float64))
-        root = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-        common = [u for u in ranked[:300] if times[u] > 1]
-        varied = [(v, times[u]) for u in common for v in _varied(u)]
-        positives = [*ranked, *[v for v, _ in varied]]
-        positive_codes = [windows(u)[0] for u in positives]
-        gain = np.sqrt([*[times[u] for u in ranked], *[0.25 * n for _, n in varied]])
-        negative_units = [(c, in_good[u]) for u in negatives for c in windows(u)]
-        loss = np.sqrt([n for _, n in negative_units])
-        x = _features([*positive_codes, *[c for c, _ in negative_units]], dense, root)
-        y = np.r_[np.ones(len(positive_codes)), -np.ones(len(negative_units))]
-        cost = np.r_[gain / gain.sum(), 8 * loss / loss.sum()]
-        w = _machine(x, y, cost * COST)
-        weights = Weights((dense.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
+        weights, varied = _fitted(ranked, times, known_clean, negatives, in_good)
         # The units that count in toxic texts, and the clean units that look worst.
         margins = dict(zip(known_clean, weights.unit_margins(known_clean).tolist(), strict=True))
         hard = sorted(known_clean, key=lambda u: (-margins[u], u))[:HARD]
@@ -307,7 +326,7 @@ def train(toxic: list[set[str]], clean: list[set[str]]) -> Weights:
         times = picked(margins, 0.0)
     worst_bad = np.array([max(margins[u] for u in text) for text in bad])
     worst_good = np.array([max(margins[u] for u in text) for text in good])
-    return _scaled(weights, worst_bad, worst_good, weights.unit_margins([v for v, _ in varied]))
+    return _scaled(weights, worst_bad, worst_good, weights.unit_margins(varied))
 
 
 def _scaled(weights: Weights, bad: np.ndarray, good: np.ndarray, varied: np.ndarray) -> Weights:
@@ -335,6 +354,18 @@ def _scaled(weights: Weights, bad: np.ndarray, good: np.ndarray, varied: np.ndar
     return Weights(weights.triple, weights.offset, float(a), float(-b / a) if a else 0.0)
 
 
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row with the machine that the labelled texts of a task give."""
+    kinds: tuple[list[Collection[str]], list[Collection[str]]] = [], []
+    for batch in batches:
+        for toxic, text in zip(batch.column("_toxic").to_pylist(), batch.column("text"), strict=True):
+            # A set would take several times the room.
+            kinds[int(toxic)].append(tuple(map(sys.intern, units_of(text.as_py()))))
+    w = train(kinds[1], kinds[0])
+    row = {"triple": [w.triple.tobytes()], "offset": [w.offset], "slope": [w.slope], "middle": [w.middle]}
+    yield pa.RecordBatch.from_pydict(row)
+
+
 def _fold(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
@@ -353,11 +384,11 @@ def learned(docs: DataFrame, labels: DataFrame) -> Weights:
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     rows = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_labelled"))
     # Repeated ids could bring more rows than labels.
-    rows = rows.select("_toxic", "text").limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE)).toLocalIterator()
-    kinds: tuple[list[set[str]], list[set[str]]] = [], []
-    for toxic, text in rows:
-        kinds[int(toxic)].append({sys.intern(unit) for unit in units_of(text)})
-    return train(kinds[1], kinds[0])
+    rows = rows.select("_toxic", "text").limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE)).coalesce(1)
+    found = rows.mapInArrow(_training, "triple binary, offset double, slope double, middle double").first()
+    if found is None:
+        return NOTHING_LEARNT
+    return Weights(np.frombuffer(found["triple"], np.float32), found["offset"], found["slope"], found["middle"])
 
 
 class Scorer:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import zlib
 
+import numpy as np
 import pytest
 from netrill.llm import decontamination, licenses, near_duplicates, pieces, quality, toxicity, warc
 from netrill.session import shared_folder
@@ -177,3 +179,19 @@ def test_toxicity_learns_altered_words(docs_of, spark, odd, nothing):
     assert toxicity.accepted(odd, marks).columns == odd.columns
     assert all(r["score"] == 0 for r in toxicity.judged(odd, marks.limit(0)).collect())
     assert toxicity.judged(nothing, marks).count() == 0
+
+
+def test_toxicity_is_learnt_outside_the_driver(docs_of, spark, nothing, monkeypatch):
+    """The driver gets the weights only; they are those of a plain call."""
+    rows = [(i, "you utter blockhead again" if i % 3 == 0 else "a fine day to you again") for i in range(90)]
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    taken = toxicity.learned(docs_of(rows), marks)
+    own = [(i, toxicity.units_of(text)) for i, text in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    plain = toxicity.train([units for i, units in own if i % 3 == 0], [units for i, units in own if i % 3])
+    assert taken.slope and np.allclose(taken.triple, plain.triple)
+    assert np.allclose((taken.offset, taken.slope, taken.middle), (plain.offset, plain.slope, plain.middle))
+    assert not toxicity.learned(nothing, marks).slope
+    called = []
+    monkeypatch.setattr(toxicity, "train", lambda *kinds: called.append(kinds) or plain)
+    assert toxicity.learned(docs_of(rows), marks).slope == plain.slope
+    assert not called
