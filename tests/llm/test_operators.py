@@ -40,6 +40,24 @@ def test_decontamination(docs_of, items, monkeypatch, bound):
     assert kept == sorted(map(repr, [*rows[:20], rows[22], rows[24], rows[25]]))
 
 
+@pytest.mark.parametrize("rows", [1, 1 << 20])
+def test_seeds_beyond_the_bound_are_sent_to_no_executor(docs_of, items, monkeypatch, rows):
+    """Only the table of marks is, which has a fixed size; seeds that share a mark lose no hit."""
+    rng = random.Random(3)
+    passages = [r["text"] for r in items.collect()]
+    docs = docs_of([(i, prose(rng, 40)) for i in range(9)] + [(9, passages[0]), (10, passages[1] + " " + prose(rng, 9))])
+    more = items.unionByName(items.where("item_id = 2").selectExpr("1L as item_id", "text"))
+    wanted = sorted(map(tuple, decontamination.report(docs, more).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(decontamination, "MARK_ROWS", rows, raising=False)
+    found = decontamination.report(docs, more)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert [("Broadcast" in line, "seed#" in line) for line in joins if "_row#" not in line] == [(False, True)]
+    assert sorted(map(tuple, found.collect())) == wanted
+    assert {(i, j) for i, j, *_ in wanted} == {(9, 1), (10, 1), (10, 2)}
+
+
 def test_license_texts_are_found_in_other_spellings(docs_of, spark):
     text = licenses.KNOWN[0][1]
     rows = [
