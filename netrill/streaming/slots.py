@@ -12,12 +12,15 @@ again and for readers on their way, older ones are removed.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SLOT_MS = 10 * 60_000
 
 
-def write_slots(rows: DataFrame, path: str, batch_id: int, time: str = "window_end") -> None:
+def write_slots(rows: DataFrame, path: str, batch_id: int, time: str = "window_end", kind: str | None = None) -> None:
+    """Store rows by slot; with ``kind`` a folder of slots for each value of that column."""
     slot = F.call_function("div", F.col(time), F.lit(SLOT_MS))
     batch = F.lit(batch_id).cast("bigint")
     (
@@ -25,7 +28,7 @@ def write_slots(rows: DataFrame, path: str, batch_id: int, time: str = "window_e
         .withColumn("batch", batch)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot", "batch")
+        .partitionBy(*([kind] if kind else []), "slot", "batch")
         .parquet(path)
     )
 
@@ -84,15 +87,34 @@ def slots_of_several(spark: SparkSession, path: str, until_batch: int) -> list[i
     return found
 
 
+PARTS = [T.StructField(name, T.LongType()) for name in ("slot", "batch")]
+
+
+def _read(spark: SparkSession, schema: T.StructType, path: str, folders: list[str]) -> DataFrame:
+    full = T.StructType([*schema.fields, *PARTS])
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*folders)
+
+
+def read_batch(spark: SparkSession, schema: T.StructType, path: str, batch_id: int) -> DataFrame:
+    """What a batch has written, with slot and batch."""
+    slots = sorted(written_slots(spark, path, batch_id))
+    return _read(spark, schema, path, [f"{path}/slot={slot}/batch={batch_id}" for slot in slots])
+
+
+def read_until(
+    spark: SparkSession, schema: T.StructType, path: str, slots: Iterable[int], until_batch: int
+) -> DataFrame:
+    """Rows of the given slots, of batches up to the given one, with slot and batch."""
+    found = _read(spark, schema, path, [f"{path}/slot={slot}" for slot in sorted(slots)])
+    return found.filter(F.col("batch") <= until_batch)
+
+
 def read_slots(
     spark: SparkSession, schema: T.StructType, path: str, first_ms: int, last_ms: int, until_batch: int
 ) -> DataFrame:
     """Rows of the slots that hold window ends from ``first_ms`` to ``last_ms``."""
     first, last = first_ms // SLOT_MS, last_ms // SLOT_MS
-    wanted = [f"{path}/slot={slot}" for slot in _slots(spark, path) if first <= slot <= last]
-    parts = [T.StructField(name, T.LongType()) for name in ("slot", "batch")]
-    full = T.StructType([*schema.fields, *parts])
-    if not wanted:
-        return spark.createDataFrame([], full)
-    found = spark.read.schema(full).option("basePath", path).parquet(*wanted)
-    return found.filter(F.col("batch") <= until_batch)
+    wanted = [slot for slot in _slots(spark, path) if first <= slot <= last]
+    return read_until(spark, schema, path, wanted, until_batch)

@@ -198,3 +198,35 @@ def test_leaf_rows_are_sorted_by_the_digest_of_their_key_first(spark):
     plan = leaf._jdf.queryExecution().executedPlan().toString()
     assert "Sort [digest#" in plan and "digest" not in leaf.columns
     assert [(r.bytes_in, r.hostname) for r in leaf.collect()] == [(100, None)]
+
+
+def test_the_state_holds_windows_and_no_leaf_rows(spark, tmp_path):
+    folder, runs = str(tmp_path), []
+    options = FlowOptions(allowed_lateness_ms=0)
+    first = [flow(S, S + 9, 1 + n, src_address=f"10.1.0.{n}") for n in range(40)]
+    second = [flow(S + 10, S + 19, 500, src_address="10.1.0.7"), half_minute(S + 20 * MINUTE, 109)]
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    def begin(stream):
+        runs.append(windows.start_final(stream, options, f"{folder}/checkpoint", write))
+        return runs[-1]
+
+    for records in (first, second):
+        replay.replay(flows(spark, records), ["true"], folder, begin)
+    held = [p["stateOperators"][0]["numRowsTotal"] for query in runs for p in query.recentProgress]
+    assert 0 < max(held) <= 2
+    found = spark.read.parquet(f"{folder}/out").groupBy("address", "larger_address").agg(F.sum("bytes_in").alias("b"))
+    assert sorted(r.b for r in found.collect()) == sorted([1 + n for n in range(40) if n != 7] + [508])
+
+
+def test_windows_that_close_again_give_the_same_rows(spark, tmp_path):
+    folder, given = str(tmp_path), [windows.rows_and_windows(flows(spark, ARRIVALS[n]), OPTIONS) for n in (0, 4, 3)]
+    sums = []
+    for number, batch in enumerate(given):
+        for _ in range(2):
+            closed = windows.closed_rows(batch, number, folder)
+            sums.append({r.window_end: r.bytes_in for r in closed.collect() if r.bytes_in})
+    # The second batch has a row of the first one's window and key.
+    assert sums == [{S + MINUTE: 100}] * 2 + [{S + MINUTE: 212}] * 2 + [{S + 21 * MINUTE: 109}] * 2
